@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline import schemas
 
@@ -60,8 +61,13 @@ def match_overrides(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def stage_table(spark: SparkSession, location: str) -> DataFrame:
-    """An upstream stage, by parquet path or by catalog name."""
-    if "/" in location:
-        return spark.read.parquet(location)
-    return spark.read.table(location)
+def stage_table(spark: SparkSession, location: str, schema: T.StructType | None = None) -> DataFrame:
+    """An upstream stage, by parquet path or by catalog name.
+
+    With a schema the match id read from folder names stays text even where it looks like a number.
+    """
+    if "/" not in location:
+        return spark.read.table(location)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    table = reader.parquet(location)
+    return table if schema is None else table.select(*schema.names)

@@ -49,7 +49,7 @@ def of_topic(messages: DataFrame, topic: str | None) -> DataFrame:
 
 def parsed(messages: DataFrame, schema: T.StructType, topic: str | None = None, name: str = "event") -> DataFrame:
     """Payload of each message under one struct column, next to its arrival time in milliseconds."""
-    arrival: Column = F.unix_millis(F.col("timestamp"))
+    arrival: Column = F.unix_millis(F.col("timestamp").cast("timestamp"))
     return of_topic(messages, topic).select(
         arrival.alias("_arrival_ms"), F.from_json(F.col("value").cast("string"), schema).alias(name)
     )
