@@ -1 +1,82 @@
-QUERIES = ()
+"""Streaming queries: the view as files of messages, read by a checkpointed stream."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from touchline.catalog.tracking_view import match_info, raw_tracking
+from touchline.plans import raw
+from touchline.sources import messages
+from touchline.streaming import levels, possessions
+
+TOPIC = "positions"
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder under the cluster's shared one; a local session may use its own disk."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is not None:
+        return f"{shared}/touchline-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    return tempfile.mkdtemp(prefix="touchline-")
+
+
+def _staged(rows: DataFrame, folder: str) -> str:
+    """Messages by ``part``, written once."""
+    text = rows.withColumn("timestamp", F.unix_millis("timestamp").cast("string"))
+    staged = f"{folder}/staged"
+    text.select(F.to_json(raw.as_entity(text)).alias("value"), "part").write.partitionBy("part").parquet(staged)
+    return staged
+
+
+def _feed(spark: SparkSession, staged: str, part: int, folder: str) -> str:
+    inbox = f"{folder}/inbox"
+    spark.read.parquet(staged).filter(F.col("part") == part).select("value").write.mode("append").text(inbox)
+    return inbox
+
+
+def stream_bronze_silver_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Each half of the matches is one micro-batch of the stateless stream."""
+    work = work_folder(spark)
+    part = F.when(F.col("game_section") == "firstHalf", 0).otherwise(1)
+    staged = _staged(raw_tracking(spark, folder).withColumn("part", part), work)
+    pipeline = levels.LevelPipeline(
+        match_info(spark), levels.to_tables(f"{work}/out"), topic=TOPIC, emit=("silver", "gold"), audit=True
+    )
+    for step in range(2):
+        inbox = _feed(spark, staged, step, work)
+        source = messages.file_messages(spark, inbox, TOPIC, max_files=None)
+        levels.start(source, pipeline, f"{work}/checkpoint", interval=None).awaitTermination()
+    result = spark.read.parquet(f"{work}/out/gold")
+    return result.select(
+        "match_id", "game_section", "team_id", "opponent_id", "possession_id", "cumulative_time",
+        "start_frame", "end_frame", "num_frames", "active_frames", "stream_batch_id", "sequence_clipped",
+    )
+
+
+def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3) -> DataFrame:
+    """The rows in the order of frames, cut into micro-batches anywhere between frames."""
+    work = work_folder(spark)
+    ordered = raw_tracking(spark, folder).repartitionByRange(parts, "frame_id")
+    staged = _staged(ordered.withColumn("part", F.spark_partition_id()), work)
+    stream = possessions.PossessionStream(
+        match_info(spark), f"{work}/state", levels.to_tables(f"{work}/out"), TOPIC, rounded=False
+    )
+    last = -1
+    for step in range(parts):
+        inbox = _feed(spark, staged, step, work)
+        source = messages.file_messages(spark, inbox, TOPIC, max_files=None)
+        query = possessions.start(source, stream, f"{work}/checkpoint", interval=None)
+        query.awaitTermination()
+        progress = query.lastProgress
+        last = last if progress is None else progress["batchId"]
+    stream.finish(spark, last)
+    return spark.read.parquet(f"{work}/out/gold").drop("stream_batch_id", "batch")
+
+
+QUERIES = (stream_bronze_silver_gold, stream_possessions_stateful)
