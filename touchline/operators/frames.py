@@ -80,7 +80,8 @@ def carrier_rank() -> Column:
 
 
 def is_carrier(best: Column) -> Column:
-    return F.coalesce(carrier_candidate() & (F.col("person_id") == best["person"]), F.lit(False))
+    nearest = (F.col("person_id") == best["person"]) & (F.col("ball_distance") == best["d"])
+    return F.coalesce(carrier_candidate() & nearest, F.lit(False))
 
 
 def with_carrier(anchored: DataFrame) -> DataFrame:

@@ -135,9 +135,10 @@ def _within_reach(pairs: DataFrame, keys: list[str], level: int) -> DataFrame:
 
 
 def nearest_by_cells(players: DataFrame, keys: list[str], team: str, person: str, x: str, y: str) -> DataFrame:
-    """Nearest opponent of each player: ``keys, team, person, opponent, distance``.
+    """Nearest opponent of each player: ``keys, team, person, x, y, opponent, ..., distance``.
 
-    ``players`` holds located players only. Equal positions of a team are looked up once.
+    ``players`` holds located players only. Equal positions of a team are looked up once, and
+    repeats of a player at one position give one row.
     """
     rivals = (
         players.groupBy(*keys, team).agg(F.count(F.lit(1)).alias("_n"))
@@ -148,6 +149,7 @@ def nearest_by_cells(players: DataFrame, keys: list[str], team: str, person: str
         players.join(rivals, keys)
         .select(*keys, F.col(team), F.col(person), F.col(x).alias("x"), F.col(y).alias("y"), side.alias("side"))
         .filter(F.col("side") >= 0)
+        .distinct()
     )
     sided = checkpointed(sided)
     sites = sided.groupBy(*keys, "side", "x", "y").agg(F.min(person).alias("person"))
@@ -178,12 +180,14 @@ def nearest_by_cells(players: DataFrame, keys: list[str], team: str, person: str
         .join(leaves("o"), [*keys, *_cell_names(last, "o")])
         .filter(opposite)
         .groupBy(*keys, F.col("pside").alias("side"), F.col("px").alias("x"), F.col("py").alias("y"))
-        .agg(F.min(F.struct(gap.alias("d"), F.col("operson").alias("person"))).alias("_nearest"))
+        .agg(F.min(F.struct(gap.alias("d"), F.col("operson").alias("person"), "ox", "oy")).alias("_nearest"))
     )
     return checkpointed(
         sided.join(found, [*keys, "side", "x", "y"]).select(
-            *keys, team, person, "side",
+            *keys, team, person, "side", "x", "y",
             F.col("_nearest.person").alias("opponent"),
+            F.col("_nearest.ox").alias("opponent_x"),
+            F.col("_nearest.oy").alias("opponent_y"),
             F.col("_nearest.d").alias("distance"),
         )
     )
@@ -195,19 +199,26 @@ def pair_by_cells(
     """Adds the three pair columns by the cell search; for groups of any size."""
     players = rows.filter(who).select(*keys, team, person, x, y)
     nearest = nearest_by_cells(players, keys, team, person, x, y)
+    at = [*keys, "side", "opponent", "opponent_x", "opponent_y"]
     back = nearest.select(
         *keys,
         (1 - F.col("side")).alias("side"),
         F.col(person).alias("opponent"),
+        F.col("x").alias("opponent_x"),
+        F.col("y").alias("opponent_y"),
         F.col("opponent").alias("_back"),
     )
-    paired = nearest.join(back, [*keys, "side", "opponent"], "left")
+    paired = nearest.join(back, at, "left")
     mutual = F.col("_back") == F.col(person)
     result = paired.select(
-        *keys, team, person,
+        *keys, team, person, F.col("x").alias(x), F.col("y").alias(y),
         F.when(mutual, F.col("opponent")).alias("pair_player_id"),
         F.when(mutual, F.col("distance")).alias("pair_player_distance"),
         F.col("distance").alias("closest_opponent_distance"),
     )
-    return rows.join(result, [*keys, team, person], "left")
-
+    # Rows without a place find no partner: their coordinates are NULL or no numbers.
+    placed = rows.withColumn("_placed", who)
+    joined = placed.alias("l").join(
+        result.withColumn("_placed", F.lit(True)).alias("r"), [*keys, team, person, x, y, "_placed"], "left"
+    )
+    return joined.select(*rows.columns, "pair_player_id", "pair_player_distance", "closest_opponent_distance")

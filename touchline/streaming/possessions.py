@@ -88,8 +88,8 @@ class PossessionStream:
         before = {
             name: self._read(spark, batch_id - 1, name) for name in ("held", "seen", "directions", "open")
         }
-        rows = arrived if before["held"] is None else arrived.unionByName(before["held"])
-        rows = rows.persist()
+        together = arrived if before["held"] is None else arrived.unionByName(before["held"])
+        rows = together = together.persist()
         if before["seen"] is not None:
             # NULL: a half that was not seen before.
             rows_seen = attach(rows, bounded(before["seen"]), SECTION)
@@ -124,7 +124,7 @@ class PossessionStream:
         self._write(runs.filter(going_on).drop("last_frame"), batch_id, "open")
         finished = gold.sequence_columns(runs.filter(~going_on), self.rounded)
         self.publish("gold", finished.withColumn("stream_batch_id", F.lit(batch_id).cast("bigint")), batch_id)
-        for kept in (runs, complete):
+        for kept in (runs, complete, together):
             kept.unpersist()
 
     def _runs(self, complete: DataFrame, directions: DataFrame) -> DataFrame:
