@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.catalog import streams
-from touchline.catalog.tracking_view import match_info, raw_tracking, tracking
+from touchline.catalog import streams, tables
+from touchline.catalog.tracking_view import match_info
 from touchline.operators import events, frames, nearest, quality, shape
 from touchline.operators.runs import value_runs
 from touchline.plans import bronze, gold, grouped, raw, silver
@@ -19,6 +19,15 @@ ROW = ["match_id", "game_section", "frame_id", "team_id", "person_id"]
 
 
 # --- stages --------------------------------------------------------------------
+def raw_tracking(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored raw table of the tracking view, built by the first query that needs it."""
+    return tables.raw_table(spark, folder)
+
+
+def tracking(spark: SparkSession, folder: str) -> DataFrame:
+    return raw_tracking(spark, folder).withColumnRenamed("ball_possession", "ball_possession_code")
+
+
 def _bronze(spark: SparkSession, folder: str) -> DataFrame:
     return bronze.bronze_positions(raw_tracking(spark, folder), match_info(spark))
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.catalog.tracking_view import match_info, raw_tracking
+from touchline.catalog.tables import raw_table, work_folder
+from touchline.catalog.tracking_view import match_info
 from touchline.plans import raw
 from touchline.sources import messages
 from touchline.streaming import levels, possessions
@@ -16,16 +14,6 @@ from touchline.streaming import levels, possessions
 TOPIC = "positions"
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared one; a local session may use its own disk."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is not None:
-        return f"{shared}/touchline-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="touchline-")
-
-
 def _staged(rows: DataFrame, folder: str) -> str:
     """Messages by ``part``, written once."""
     text = rows.withColumn("timestamp", F.unix_millis("timestamp").cast("string"))
@@ -44,7 +32,7 @@ def stream_bronze_silver_gold(spark: SparkSession, folder: str) -> DataFrame:
     """Each half of the matches is one micro-batch of the stateless stream."""
     work = work_folder(spark)
     part = F.when(F.col("game_section") == "firstHalf", 0).otherwise(1)
-    staged = _staged(raw_tracking(spark, folder).withColumn("part", part), work)
+    staged = _staged(raw_table(spark, folder).withColumn("part", part), work)
     pipeline = levels.LevelPipeline(
         match_info(spark), levels.to_tables(f"{work}/out"), topic=TOPIC, emit=("silver", "gold"), audit=True
     )
@@ -62,7 +50,7 @@ def stream_bronze_silver_gold(spark: SparkSession, folder: str) -> DataFrame:
 def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3) -> DataFrame:
     """The rows in the order of frames, cut into micro-batches anywhere between frames."""
     work = work_folder(spark)
-    ordered = raw_tracking(spark, folder).repartitionByRange(parts, "frame_id")
+    ordered = raw_table(spark, folder).repartitionByRange(parts, "frame_id")
     staged = _staged(ordered.withColumn("part", F.spark_partition_id()), work)
     stream = possessions.PossessionStream(
         match_info(spark), f"{work}/state", levels.to_tables(f"{work}/out"), TOPIC, rounded=False

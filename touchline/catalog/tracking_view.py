@@ -35,6 +35,7 @@ def _half_start(orders: DataFrame) -> DataFrame:
 
 
 def _players(lines: DataFrame) -> DataFrame:
+    """One row per player and frame. Hashed by frame first: the join that follows needs no more."""
     flag = F.col("l_returnflag")
     in_team = flag.isin("A", "R")
     entity = lines.select(
@@ -45,7 +46,7 @@ def _players(lines: DataFrame) -> DataFrame:
         F.when(F.col("l_quantity") != 50, _hundredths("l_extendedprice")).alias("c"),
         F.floor("l_quantity").alias("q"),
     )
-    return entity.groupBy("m", "f", "role", "slot").agg(
+    return entity.repartition("m", "f").groupBy("m", "f", "role", "slot").agg(
         F.max(_x(F.col("c"))).alias("xc"), F.max(_y(F.col("c"))).alias("yc"), F.max("q").alias("q")
     )
 
@@ -77,13 +78,15 @@ def _possessions(orders: DataFrame) -> DataFrame:
 def tracking(spark: SparkSession, folder: str) -> DataFrame:
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    balls = _balls(orders)
-    frame_state = (
-        balls.withColumn("phase", F.floor(F.col("f") / 8))
+    balls = (
+        _balls(orders)
+        .withColumn("phase", F.floor(F.col("f") / 8))
         .join(_possessions(orders), ["m", "phase"])
-        .select("m", "f", "poss", "ball_status")
+        .drop("phase")
     )
-    rows = _players(lines).unionByName(balls.drop("ball_status")).join(frame_state, ["m", "f"])
+    # A hash per partition over the frames' states; never a broadcast, whose side would grow with the data.
+    states = balls.select("m", "f", "poss", "ball_status").hint("shuffle_hash")
+    rows = _players(lines).join(states, ["m", "f"]).unionByName(balls)
     half = _half_start(orders).scalar()
     match, team, first_half = F.col("m").cast("string"), F.col("role"), F.col("f") < half
     return rows.select(

@@ -145,5 +145,7 @@ def sequence_columns(runs: DataFrame, batch_id: int | None, rounded: bool = True
 def gold_stream_possessions(
     grouped: DataFrame, batch_id: int | None = None, rounded: bool = True, width: int = BLOCK
 ) -> DataFrame:
-    runs = possession_runs(possession_frames(grouped), width)
+    # Kept: the ordinals and the clip flag each look at the sequences once more, and would
+    # otherwise run everything up to here again. There is about one for every fifty frames.
+    runs = possession_runs(possession_frames(grouped), width).persist()
     return sequence_columns(with_clipped(with_ordinals(runs, width)), batch_id, rounded)
