@@ -26,59 +26,69 @@ def crowded_groups(rows: DataFrame, keys: list[str], max_rows: int) -> DataFrame
 
 
 # --- ordinary groups: arrays ---------------------------------------------------
-def gathered(keys: list[str], who: Column, x: str, y: str, team: str, person: str) -> Column:
-    """Window expression: the group's players that satisfy ``who``, as an array."""
+def gather(
+    rows: DataFrame, keys: list[str], who: str, x: str, y: str, team: str = "team_id", person: str = "person_id"
+) -> DataFrame:
+    """Adds ``_players``, the group's rows flagged by ``who``, and ``_teams``, their team ids."""
+    group = Window.partitionBy(*keys)
     player = F.struct(
         F.col(team).alias("team"), F.col(person).alias("person"), F.col(x).alias("x"), F.col(y).alias("y")
     )
-    return F.collect_list(F.when(who, player)).over(Window.partitionBy(*keys))
+    return rows.withColumns(
+        {
+            "_players": F.collect_list(F.when(F.col(who), player)).over(group),
+            "_teams": F.array_sort(F.collect_set(F.when(F.col(who), F.col(team))).over(group)),
+        }
+    )
 
 
-def _closest(players: Column, x: Column, y: Column) -> Column:
+def _closest(players: Column, x: Column, y: Column, prefix: str) -> Column:
     """Smallest (distance, person) of an array of players, with that player's position."""
     return F.array_min(
         F.transform(
             players,
             lambda p: F.struct(
-                distance(x, y, p["x"], p["y"]).alias("d"),
-                p["person"].alias("person"),
-                p["x"].alias("x"),
-                p["y"].alias("y"),
+                distance(x, y, p["x"], p["y"]).alias(f"{prefix}d"),
+                p["person"].alias(f"{prefix}person"),
+                p["x"].alias(f"{prefix}x"),
+                p["y"].alias(f"{prefix}y"),
             ),
         )
     )
 
 
+def _with_fields(rows: DataFrame, struct: Column) -> DataFrame:
+    """Adds a struct's fields through a generator.
+
+    A later filter on them stays above it. Through a projection it would be pushed down with a
+    copy of the whole search for each mention of a field.
+    """
+    return rows.select("*", F.inline(F.array(struct)))
+
+
 def pair_from_arrays(
-    rows: DataFrame, players: str, who: str, x: str, y: str, team: str = "team_id", person: str = "person_id"
+    rows: DataFrame, who: str, x: str, y: str, team: str = "team_id", person: str = "person_id"
 ) -> DataFrame:
-    """Adds the three pair columns from a gathered array; ``who`` names the eligibility flag.
+    """Adds the three pair columns to gathered rows.
 
     Only the two smallest team ids of the group oppose each other.
     """
-    rivals = F.slice(F.array_sort(F.array_distinct(F.transform(players, lambda p: p["team"]))), 1, 2)
-    with_rivals = rows.withColumn("_rivals", rivals)
-    other = (
-        F.when(F.col(team) == F.get("_rivals", F.lit(0)), F.get("_rivals", F.lit(1)))
-        .when(F.col(team) == F.get("_rivals", F.lit(1)), F.get("_rivals", F.lit(0)))
-    )
-    with_rival = with_rivals.withColumn("_rival", F.when(F.col(who), other))
-    opponents = F.filter(players, lambda p: p["team"] == F.col("_rival"))
-    nearest = F.when(F.col("_rival").isNotNull(), _closest(opponents, F.col(x), F.col(y)))
-    with_nearest = with_rival.withColumn("_nearest", nearest)
-    mates = F.filter(players, lambda p: p["team"] == F.col(team))
-    back = _closest(mates, F.col("_nearest")["x"], F.col("_nearest")["y"])
-    with_back = with_nearest.withColumn(
-        "_back", F.when(F.col("_nearest").isNotNull(), back["person"])
+    first, second = F.get("_teams", F.lit(0)), F.get("_teams", F.lit(1))
+    rival = F.when(F.col(team) == first, second).when(F.col(team) == second, first)
+    with_rival = rows.withColumn("_rival", F.when(F.col(who), rival))
+    opponents = F.filter("_players", lambda p: p["team"] == F.col("_rival"))
+    nearest = F.when(F.col("_rival").isNotNull(), _closest(opponents, F.col(x), F.col(y), "_near_"))
+    with_nearest = _with_fields(with_rival, nearest)
+    mates = F.filter("_players", lambda p: p["team"] == F.col(team))
+    back = _closest(mates, F.col("_near_x"), F.col("_near_y"), "_back_")
+    with_back = _with_fields(with_nearest, F.when(F.col("_near_person").isNotNull(), back))
+    mutual = F.col("_back_person") == F.col(person)
+    return with_back.select(
+        *[c for c in rows.columns if c not in ("_players", "_teams")],
+        F.when(mutual, F.col("_near_person")).alias("pair_player_id"),
+        F.when(mutual, F.col("_near_d")).alias("pair_player_distance"),
+        F.col("_near_d").alias("closest_opponent_distance"),
     )
-    mutual = F.col("_back") == F.col(person)
-    return with_back.withColumns(
-        {
-            "pair_player_id": F.when(mutual, F.col("_nearest")["person"]),
-            "pair_player_distance": F.when(mutual, F.col("_nearest")["d"]),
-            "closest_opponent_distance": F.col("_nearest")["d"],
-        }
-    ).drop("_rivals", "_rival", "_nearest", "_back")
 
 
 # --- crowded groups: nested cells -----------------------------------------------

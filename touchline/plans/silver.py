@@ -67,15 +67,11 @@ def _ordinary(rows: DataFrame, flavour: Flavour) -> DataFrame:
     """Frames up to the row limit: one exchange by frame, then windows over it."""
     frame = Window.partitionBy(*KEYS)
     ball = F.min(F.when(F.col("team_id") == schemas.BALL, frames.first_ball(flavour.x, flavour.y))).over(frame)
-    flagged = rows.withColumn("_eligible", frames.eligible())
-    players = nearest.gathered(KEYS, F.col("_eligible"), flavour.x, flavour.y, "team_id", "person_id")
-    anchored = _anchored(flagged.withColumns({"_ball": ball, "_players": players}), flavour)
-    carried = anchored.withColumn("_carrier", F.min(frames.carrier_rank()).over(frame)).withColumn(
-        "has_possession", frames.is_carrier(F.col("_carrier"))
-    )
-    return nearest.pair_from_arrays(carried, "_players", "_eligible", flavour.x, flavour.y).drop(
-        "_players", "_eligible", "_carrier"
-    )
+    flagged = rows.withColumns({"_ball": ball, "_eligible": frames.eligible()})
+    gathered = nearest.gather(flagged, KEYS, "_eligible", flavour.x, flavour.y)
+    carried = _anchored(gathered, flavour).withColumn("_carrier", F.min(frames.carrier_rank()).over(frame))
+    with_carrier = carried.withColumn("has_possession", frames.is_carrier(F.col("_carrier")))
+    return nearest.pair_from_arrays(with_carrier, "_eligible", flavour.x, flavour.y).drop("_eligible", "_carrier")
 
 
 def _crowded(rows: DataFrame, flavour: Flavour) -> DataFrame:
