@@ -99,6 +99,25 @@ def ball_carriers(rows: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     return with_carrier(anchored).select(*rows.columns, "ball_distance", "has_possession")
 
 
+def gathered_carrier(rows: str, placed: str, x: str, y: str) -> Column:
+    """``carrier_rank`` of the best row of a gathered frame; ``placed`` flags rows with a position."""
+    ball = F.col("_ball")
+    candidates = F.filter(
+        rows,
+        lambda row: row[placed] & row["person_id"].isNotNull()
+        & F.coalesce(row["team_id"] == ball["possession"], F.lit(False)),
+    )
+    best = F.array_min(
+        F.transform(
+            candidates,
+            lambda row: F.struct(
+                distance(row[x], row[y], ball["x"], ball["y"]).alias("d"), row["person_id"].alias("person")
+            ),
+        )
+    )
+    return F.when(is_finite(ball["x"]) & is_finite(ball["y"]), best)
+
+
 def eligible() -> Column:
     """Players that take part in pairing."""
     return ~F.col("team_id").isin(BALL, REFEREE) & F.col("person_id").isNotNull() & located()

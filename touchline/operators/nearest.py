@@ -1,7 +1,7 @@
 """Nearest opponents and mutual nearest pairs within a group.
 
 Two exact ways with the same result. An ordinary group (a frame has some two dozen rows) is
-gathered by one window and searched with array functions, without a row per pair. A group
+gathered into one row and searched with array functions, without a row per pair. A group
 above a row limit is never gathered: it is searched through nested grid cells, where a pair of
 cells that cannot hold a nearest pair is dropped before its contents are looked at.
 
@@ -10,7 +10,7 @@ Ties for the nearest opponent go to the smaller person id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.geometry import distance
@@ -26,68 +26,90 @@ def crowded_groups(rows: DataFrame, keys: list[str], max_rows: int) -> DataFrame
 
 
 # --- ordinary groups: arrays ---------------------------------------------------
-def gather(
-    rows: DataFrame, keys: list[str], who: str, x: str, y: str, team: str = "team_id", person: str = "person_id"
-) -> DataFrame:
-    """Adds ``_players``, the group's rows flagged by ``who``, and ``_teams``, their team ids."""
-    group = Window.partitionBy(*keys)
-    player = F.struct(
-        F.col(team).alias("team"), F.col(person).alias("person"), F.col(x).alias("x"), F.col(y).alias("y")
+def gather(rows: DataFrame, keys: list[str], who: str, team: str = "team_id", **also: Column) -> DataFrame:
+    """One row per group: its rows as ``_rows``, the teams of those flagged by ``who``, and ``also``."""
+    others = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(
+        F.collect_list(F.struct(*others)).alias("_rows"),
+        F.array_sort(F.collect_set(F.when(F.col(who), F.col(team)))).alias("_teams"),
+        *[column.alias(name) for name, column in also.items()],
     )
-    return rows.withColumns(
-        {
-            "_players": F.collect_list(F.when(F.col(who), player)).over(group),
-            "_teams": F.array_sort(F.collect_set(F.when(F.col(who), F.col(team))).over(group)),
-        }
-    )
-
 
-def _closest(players: Column, x: Column, y: Column, prefix: str) -> Column:
-    """Smallest (distance, person) of an array of players, with that player's position."""
-    return F.array_min(
-        F.transform(
-            players,
-            lambda p: F.struct(
-                distance(x, y, p["x"], p["y"]).alias(f"{prefix}d"),
-                p["person"].alias(f"{prefix}person"),
-                p["x"].alias(f"{prefix}x"),
-                p["y"].alias(f"{prefix}y"),
-            ),
-        )
-    )
 
+def _nearest_of(side: Column, others: Column, x: str, y: str, person: str) -> Column:
+    """For each row of a side the smallest (distance, person) among the others, with its place there."""
 
-def _with_fields(rows: DataFrame, struct: Column) -> DataFrame:
-    """Adds a struct's fields through a generator.
+    def nearest(row: Column) -> Column:
+        return F.array_min(
+            F.transform(
+                others,
+                lambda other, place: F.struct(
+                    distance(row[x], row[y], other[x], other[y]).alias("d"),
+                    other[person].alias("person"),
+                    place.alias("place"),
+                ),
+            )
+        )
 
-    A later filter on them stays above it. Through a projection it would be pushed down with a
-    copy of the whole search for each mention of a field.
-    """
-    return rows.select("*", F.inline(F.array(struct)))
+    return F.transform(side, nearest)
 
 
-def pair_from_arrays(
-    rows: DataFrame, who: str, x: str, y: str, team: str = "team_id", person: str = "person_id"
+def pair_gathered(
+    groups: DataFrame, who: str, x: str, y: str, team: str = "team_id", person: str = "person_id"
 ) -> DataFrame:
-    """Adds the three pair columns to gathered rows.
+    """Gathered groups back as rows, with the three pair columns.
 
-    Only the two smallest team ids of the group oppose each other.
+    Only the two smallest team ids of a group oppose each other. Each distance is computed once
+    per direction and group. The generator at the end keeps later filters above the search:
+    through projections they would be pushed down with copies of it.
     """
+    carried = [c for c in groups.columns if c not in ("_rows", "_teams")]
     first, second = F.get("_teams", F.lit(0)), F.get("_teams", F.lit(1))
-    rival = F.when(F.col(team) == first, second).when(F.col(team) == second, first)
-    with_rival = rows.withColumn("_rival", F.when(F.col(who), rival))
-    opponents = F.filter("_players", lambda p: p["team"] == F.col("_rival"))
-    nearest = F.when(F.col("_rival").isNotNull(), _closest(opponents, F.col(x), F.col(y), "_near_"))
-    with_nearest = _with_fields(with_rival, nearest)
-    mates = F.filter("_players", lambda p: p["team"] == F.col(team))
-    back = _closest(mates, F.col("_near_x"), F.col("_near_y"), "_back_")
-    with_back = _with_fields(with_nearest, F.when(F.col("_near_person").isNotNull(), back))
-    mutual = F.col("_back_person") == F.col(person)
-    return with_back.select(
-        *[c for c in rows.columns if c not in ("_players", "_teams")],
-        F.when(mutual, F.col("_near_person")).alias("pair_player_id"),
-        F.when(mutual, F.col("_near_d")).alias("pair_player_distance"),
-        F.col("_near_d").alias("closest_opponent_distance"),
+
+    def members(of: Column) -> Column:
+        return F.filter("_rows", lambda row: row[who] & F.coalesce(row[team] == of, F.lit(False)))
+
+    def is_rest(row: Column) -> Column:
+        plays = (row[team] == first) | (row[team] == second)
+        return ~(row[who] & F.coalesce(plays, F.lit(False)))
+
+    sides = groups.select(
+        *carried, members(first).alias("_a"), members(second).alias("_b"), F.filter("_rows", is_rest).alias("_rest")
+    )
+    found = sides.withColumns(
+        {
+            "_near_a": _nearest_of(F.col("_a"), F.col("_b"), x, y, person),
+            "_near_b": _nearest_of(F.col("_b"), F.col("_a"), x, y, person),
+        }
+    )
+
+    def entries(side: str, near: str, opposite: str) -> Column:
+        def entry(row: Column, place: Column) -> Column:
+            own = F.get(near, place)
+            back = F.get(opposite, own["place"])["person"]
+            return F.struct(
+                row.alias("_row"), own["d"].alias("_d"), own["person"].alias("_person"),
+                (back == row[person]).alias("_mutual"),
+            )
+
+        return F.transform(side, entry)
+
+    def alone(row: Column) -> Column:
+        nothing = F.lit(None)
+        return F.struct(
+            row.alias("_row"), nothing.cast("double").alias("_d"), nothing.cast("string").alias("_person"),
+            nothing.cast("boolean").alias("_mutual"),
+        )
+
+    everyone = F.concat(
+        entries("_a", "_near_a", "_near_b"), entries("_b", "_near_b", "_near_a"), F.transform("_rest", alone)
+    )
+    return found.select(*carried, F.inline(everyone)).select(
+        *carried,
+        "_row.*",
+        F.when(F.col("_mutual"), F.col("_person")).alias("pair_player_id"),
+        F.when(F.col("_mutual"), F.col("_d")).alias("pair_player_distance"),
+        F.col("_d").alias("closest_opponent_distance"),
     )
 
 

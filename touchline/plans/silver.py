@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline import schemas
@@ -64,14 +64,16 @@ def _anchored(rows: DataFrame, flavour: Flavour) -> DataFrame:
 
 
 def _ordinary(rows: DataFrame, flavour: Flavour) -> DataFrame:
-    """Frames up to the row limit: one exchange by frame, then windows over it."""
-    frame = Window.partitionBy(*KEYS)
-    ball = F.min(F.when(F.col("team_id") == schemas.BALL, frames.first_ball(flavour.x, flavour.y))).over(frame)
-    flagged = rows.withColumns({"_ball": ball, "_eligible": frames.eligible()})
-    gathered = nearest.gather(flagged, KEYS, "_eligible", flavour.x, flavour.y)
-    carried = _anchored(gathered, flavour).withColumn("_carrier", F.min(frames.carrier_rank()).over(frame))
-    with_carrier = carried.withColumn("has_possession", frames.is_carrier(F.col("_carrier")))
-    return nearest.pair_from_arrays(with_carrier, "_eligible", flavour.x, flavour.y).drop("_eligible", "_carrier")
+    """Frames up to the row limit: one exchange by frame, then one row of arrays per frame."""
+    x, y = flavour.x, flavour.y
+    flagged = rows.withColumns({"_eligible": frames.eligible(), "_located": frames.located(x, y)})
+    ball = F.min(F.when(F.col("team_id") == schemas.BALL, frames.first_ball(x, y)))
+    groups = nearest.gather(flagged, KEYS, "_eligible", _ball=ball)
+    groups = groups.withColumn("_carrier", frames.gathered_carrier("_rows", "_located", x, y))
+    paired = _anchored(nearest.pair_gathered(groups, "_eligible", x, y), flavour)
+    return paired.withColumn("has_possession", frames.is_carrier(F.col("_carrier"))).drop(
+        "_eligible", "_located", "_carrier"
+    )
 
 
 def _crowded(rows: DataFrame, flavour: Flavour) -> DataFrame:
