@@ -119,3 +119,11 @@ def test_exact_means_are_the_same_for_any_split(spark):
     df = spark.createDataFrame([(round(rng.uniform(0, 105), 2),) for _ in range(500)], "v double")
     results = {df.repartition(n).agg(exact_mean(F.col("v"), 2)).first()[0] for n in (1, 3, 8)}
     assert len(results) == 1
+
+
+def test_grouped_and_gold_hash_rows_by_frame_once(spark, folder):
+    silver, _ = _silver(spark)
+    silver.write.parquet(folder + "/s")
+    held = grouped.possession_frames(grouped.grouped_positions(spark.read.parquet(folder + "/s")))
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -121,3 +121,16 @@ def test_unknown_matches_in_strict_mode(spark):
     pipeline = levels.LevelPipeline(_info(spark).filter("match_id = 'other'"), topic="t", strict=True)
     with pytest.raises(levels.UnknownMatches, match="M"):
         pipeline.process(topic, 0)
+
+
+def test_event_mirror(spark, tmp_path):
+    from touchline.streaming import mirror
+
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for n in range(2):
+        (inbox / f"{n}.txt").write_text(json.dumps({"EventId": str(n), "EventDetails": {"Play": {"Player": "p"}}}))
+    source = messages.file_messages(spark, str(inbox), "e")
+    mirror.mirror_events(source, str(tmp_path / "out"), str(tmp_path / "cp"), "e", interval=None).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.EventId, r.EventDetails.Player) for r in got) == [("0", "p"), ("1", "p")]

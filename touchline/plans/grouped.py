@@ -18,37 +18,39 @@ SECTION = ["match_id", "game_section"]
 def grouped_positions(silver: DataFrame, k: int = OFFSIDE_LINE_INDEX) -> DataFrame:
     """Players of a team in a frame as an array from the deepest on, with line and play state.
 
-    Players without a position come last, equal positions in the order of person ids.
+    Players without a position come last, equal positions in the order of person ids. The ball's
+    status is spread over its frame before grouping: rows are then hashed by frame, and neither
+    the grouping by team nor a later window over the frame has to shuffle the arrays.
     """
     player = F.struct(*schemas.GROUPED_PLAYER_COLUMNS)
     depth = F.struct(
         F.col("x_norm").isNull().alias("unplaced"), F.col("x_norm").alias("at"),
         F.col("person_id").alias("who"), player.alias("player"),
     )
-    rows = silver.filter(F.col("team_id") != schemas.REFEREE)
+    status = F.when(F.col("team_id") == schemas.BALL, F.col("ball_status"))
+    rows = silver.filter(F.col("team_id") != schemas.REFEREE).withColumn(
+        "_status", F.max(status).over(Window.partitionBy(*FRAME))
+    )
     carried = [c for c in ("stream_batch_id", "_arrival_ms") if c in silver.columns]
     sorted_players = F.transform(F.array_sort(F.collect_list(depth)), lambda entry: entry["player"])
     grouped = rows.groupBy(*TEAM_FRAME).agg(
-        sorted_players.alias("players"), *[F.max(c).alias(c) for c in carried]
+        sorted_players.alias("players"),
+        F.when(F.max("_status") == 1, "active").otherwise("interruption").alias("play_state"),
+        *[F.max(c).alias(c) for c in carried],
     )
     with_line = grouped.withColumn("offside_line", F.get("players", F.lit(k))["x_norm"])
-    return with_play_state(with_line).select(*schemas.GROUPED_COLUMNS, *carried)
+    return with_line.select(*schemas.GROUPED_COLUMNS, *carried)
 
 
-def _ball_value(field: str) -> Column:
-    """The ball group's value for every team row of the frame; a frame has a handful of them."""
-    entry = F.get("players", F.lit(0))[field]
+def _holder() -> Column:
+    """The ball group's possession for every team row of the frame; a frame has a handful of them."""
+    entry = F.get("players", F.lit(0))["ball_possession"]
     return F.max(F.when(F.col("team_id") == schemas.BALL, entry)).over(Window.partitionBy(*FRAME))
 
 
-def with_play_state(grouped: DataFrame) -> DataFrame:
-    state = F.when(_ball_value("ball_status") == 1, "active").otherwise("interruption")
-    return grouped.withColumn("play_state", state)
-
-
 def possession_frames(grouped: DataFrame) -> DataFrame:
     """Rows of the team that has the ball, with the opponent's id and line of the same frame."""
-    teams = grouped.withColumn("_holder", _ball_value("ball_possession")).filter(F.col("team_id") != schemas.BALL)
+    teams = grouped.withColumn("_holder", _holder()).filter(F.col("team_id") != schemas.BALL)
     has_ball = F.col("_holder") == F.col("team_id")
     frame = Window.partitionBy(*FRAME)
     deepest = F.get("players", F.lit(0))
