@@ -311,7 +311,7 @@ def audit_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def malformed_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    """Order priorities stand in for speeds: none of them is a number."""
+    """Speeds written as ``v12.0``: none of them is a number."""
     rows = raw_tracking(spark, folder).withColumn("speed", F.concat(F.lit("v"), F.col("speed").cast("string")))
     return quality.malformed_numbers(rows.select(raw.as_entity(rows).alias("entity")))
 

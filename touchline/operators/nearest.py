@@ -17,7 +17,7 @@ from touchline.functions.geometry import distance
 from touchline.operators.lineage import checkpointed
 
 # Edge lengths of the grid cells in metres, coarse to fine; each divides the one before.
-CELL_SIZES = (64.0, 8.0, 1.0, 0.125)
+CELL_SIZES = (64.0, 8.0, 1.0, 0.125, 0.015625)
 
 
 def crowded_groups(rows: DataFrame, keys: list[str], max_rows: int) -> DataFrame:

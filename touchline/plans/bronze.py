@@ -65,8 +65,8 @@ def possessing_team(code: Column) -> Column:
 
 
 def with_match_info(rows: DataFrame, info: DataFrame, default_pitch: bool = False) -> DataFrame:
-    """Pitch and teams of each row's match; Spark picks the join by the size of ``info``."""
-    joined = attach(rows, one_per_match(info), ["match_id"])
+    """Pitch and teams of each row's match."""
+    joined = attach(rows, bounded(one_per_match(info)), ["match_id"])
     if not default_pitch:
         return joined
     return joined.withColumns(

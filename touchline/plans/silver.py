@@ -83,7 +83,9 @@ def _crowded(rows: DataFrame, flavour: Flavour) -> DataFrame:
 
 
 def _rounded(name: str) -> Column:
-    return F.round(name, 3).alias(name) if name in ROUNDED else F.col(name)
+    if name not in ROUNDED:
+        return F.col(name)
+    return F.when(~F.isnan(name), F.round(name, 3)).alias(name)
 
 
 def enrich(bronze: DataFrame, flavour: Flavour = BATCH, max_frame_rows: int = MAX_FRAME_ROWS) -> DataFrame:
@@ -119,7 +121,7 @@ def silver_positions(
     batch_id: int | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """The silver contract, rounded to three decimals; ``batch_id`` adds the lineage column."""
+    """The silver contract, rounded to three decimals and without NaN; ``batch_id`` adds the lineage column."""
     enriched = enrich(identified(bronze, flavour, strict), flavour, max_frame_rows)
     silver = enriched.select(*[_rounded(c) for c in flavour.columns])
     if batch_id is None:
