@@ -151,6 +151,7 @@ def test_batch_pipeline_end_to_end(spark, tmp_path):
     assert {(r.team_id, r.possession_id, r.duration_sec, r.avg_ball_speed) for r in got} == {
         ("H", 10000, 0.16, 9.0), ("G", 10004, 0.08, 9.0),
     }
+    assert len(list((tmp_path / "out" / "gold_possessions" / "match_id=7").glob("*.parquet"))) == 1
     silver = files.stage_table(spark, tables.path("silver_positions"), schemas.SILVER_POSITIONS)
     assert silver.schema["match_id"].dataType.simpleString() == "string" and silver.count() == 42
     pruned = silver.filter("match_id = '7'")._jdf.queryExecution().executedPlan().toString()

@@ -20,7 +20,8 @@ def grouped_positions(silver: DataFrame, k: int = OFFSIDE_LINE_INDEX) -> DataFra
 
     Players without a position come last, equal positions in the order of person ids. The ball's
     status is spread over its frame before grouping: rows are then hashed by frame, and neither
-    the grouping by team nor a later window over the frame has to shuffle the arrays.
+    the grouping by team nor a later window over the frame has to shuffle the arrays. The array
+    of a team is the result itself, so it is as long as the team has rows in the frame.
     """
     player = F.struct(*schemas.GROUPED_PLAYER_COLUMNS)
     depth = F.struct(

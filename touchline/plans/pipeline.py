@@ -50,7 +50,7 @@ def build_silver(spark: SparkSession, tables: Tables) -> None:
 
 def build_gold(spark: SparkSession, tables: Tables) -> None:
     rows = files.stage_table(spark, tables.path("silver_positions"), schemas.SILVER_POSITIONS)
-    write_by_match(gold.gold_possessions(rows), tables.path("gold_possessions"))
+    write_by_match(gold.gold_possessions(rows), tables.path("gold_possessions"), frame="possession_id")
 
 
 def run_batch(spark: SparkSession, records: str, documents: str, root: str) -> Tables:

@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_by_match(df: DataFrame, path: str, frames_per_file: int = 20_000, mode: str = "overwrite") -> None:
-    """Parquet partitioned by match.
-
-    One match is spread over as many tasks and files as it has blocks of frames, and the
-    frames of a block lie together, so later stages combine them before their shuffle.
+def write_by_match(
+    df: DataFrame, path: str, frame: str = "frame_id", frames_per_file: int = 20_000, mode: str = "overwrite"
+) -> None:
+    """Parquet partitioned by match, in files of a block of frames each.
+
+    One match is spread over as many tasks as it has blocks, so a match that holds much of the
+    data is no bottleneck, and no task writes a small file for every match. The frames of a
+    block lie together, so later stages combine them before their shuffle.
     """
-    if "frame_id" in df.columns:
-        block = F.floor(F.col("frame_id") / frames_per_file)
-        df = df.repartition("match_id", block).sortWithinPartitions("match_id", "frame_id")
-    df.write.mode(mode).partitionBy("match_id").parquet(path)
+    block = F.floor(F.col(frame) / frames_per_file)
+    spread = df.repartition("match_id", block).sortWithinPartitions("match_id", frame)
+    spread.write.mode(mode).partitionBy("match_id").parquet(path)
 
 
 def as_messages(df: DataFrame, columns: list[str]) -> DataFrame:
