@@ -104,13 +104,15 @@ def test_late_rows_are_published_apart(spark, tmp_path):
 
 
 def test_levels_switches_and_counts(spark, tmp_path):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
     pipeline = levels.LevelPipeline(
         _info(spark), levels.to_tables(str(tmp_path / "out")), topic="t", build=("bronze", "grouped"), emit=("grouped",),
         audit=True,
     )
     _run(spark, tmp_path, [], lambda s, cp: levels.start(s, pipeline, cp, interval=None))
     assert pipeline.counts == {"bronze": 288, "grouped": 36}
-    assert {p.name for p in (tmp_path / "out").iterdir()} == {"grouped", "audit"}
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"grouped", "audit", "unknown_matches"}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_unknown_matches_in_strict_mode(spark):

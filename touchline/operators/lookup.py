@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.kept import keep
+
 # 500k rows of ids are some tens of megabytes on each executor.
 MAX_BROADCAST_ROWS = 500_000
 
@@ -18,7 +19,7 @@ def bounded(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     not compute it twice. A larger one is returned without a hint: a shuffled join, in which
     adaptive execution splits the partitions of hot matches.
     """
-    kept = table.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = keep(table)
     rows = kept.limit(max_rows + 1).count()
     return F.broadcast(kept) if rows <= max_rows else kept
 

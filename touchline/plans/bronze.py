@@ -42,8 +42,8 @@ def first_frames(rows: DataFrame) -> DataFrame:
 
 def first_frame_players(rows: DataFrame) -> DataFrame:
     located = outfield(rows).filter(F.col("x").isNotNull())
-    joined = attach(located, bounded(first_frames(rows)), SECTION, "inner")
-    return joined.filter(F.col("frame_id") == F.col("kickoff_frame_id")).drop("kickoff_frame_id")
+    first = first_frames(rows).withColumnRenamed("kickoff_frame_id", "frame_id")
+    return attach(located, bounded(first), [*SECTION, "frame_id"], "inner")
 
 
 def earliest_directions(rows: DataFrame) -> DataFrame:

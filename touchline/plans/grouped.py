@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions.numeric import clock, mean_from_scaled, scaled_sum
+from touchline.operators.kept import keep
 from touchline.operators.runs import BLOCK, running_totals, value_runs
 from touchline.sources.constants import FRAMES_PER_SECOND, OFFSIDE_LINE_INDEX
 
@@ -150,5 +151,5 @@ def gold_stream_possessions(
 ) -> DataFrame:
     # Kept: the ordinals and the clip flag each look at the sequences once more, and would
     # otherwise run everything up to here again. There is about one for every fifty frames.
-    runs = possession_runs(possession_frames(grouped), width).persist()
+    runs = keep(possession_runs(possession_frames(grouped), width))
     return sequence_columns(with_clipped(with_ordinals(runs, width)), batch_id, rounded)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline import schemas
 from touchline.operators.frames import fill_down
+from touchline.operators.kept import released
 from touchline.plans import bronze, gold, raw, silver
 from touchline.sources import files
 from touchline.sources import match_info as info_source
@@ -37,17 +38,20 @@ def load_raw(spark: SparkSession, records: str, documents: str, tables: Tables)
     info.write.mode("overwrite").parquet(tables.path("match_info"))
 
 
+@released()
 def build_bronze(spark: SparkSession, tables: Tables) -> None:
     rows = files.stage_table(spark, tables.path("raw_positions"), schemas.RAW_POSITIONS)
     info = files.stage_table(spark, tables.path("match_info"), schemas.MATCH_INFO)
     write_by_match(bronze.bronze_positions(rows, info), tables.path("bronze_positions"))
 
 
+@released()
 def build_silver(spark: SparkSession, tables: Tables) -> None:
     rows = files.stage_table(spark, tables.path("bronze_positions"), schemas.BRONZE_POSITIONS)
     write_by_match(silver.silver_positions(rows), tables.path("silver_positions"))
 
 
+@released()
 def build_gold(spark: SparkSession, tables: Tables) -> None:
     rows = files.stage_table(spark, tables.path("silver_positions"), schemas.SILVER_POSITIONS)
     write_by_match(gold.gold_possessions(rows), tables.path("gold_possessions"), frame="possession_id")

@@ -1,4 +1,4 @@
-"""Fixed reference data, as small dimension tables."""
+"""Fixed values, as small dimension tables."""
 
 from __future__ import annotations
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline import schemas
 from touchline.operators import quality
+from touchline.operators.kept import keep, released
 from touchline.plans import bronze, grouped, raw, silver
 from touchline.sources import constants, sinks
 
@@ -82,24 +83,26 @@ class LevelPipeline:
             raise UnknownMatches("no metadata for " + ", ".join(sorted(names)))
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
+        with released():
+            self._process(messages, batch_id)
+
+    def _process(self, messages: DataFrame, batch_id: int) -> None:
         self.counts = {}
-        rows = raw.message_positions(messages, self.topic).persist()
+        rows = keep(raw.message_positions(messages, self.topic))
         if self.strict:
             self._check_matches(rows)
-        bronze_rows = bronze.bronze_stream_positions(rows, self.info).persist()
+        bronze_rows = keep(bronze.bronze_stream_positions(rows, self.info))
         if self.audit:
             self.publish("audit", quality.unresolved_directions(bronze_rows), batch_id)
+            self.publish("unknown_matches", quality.unknown_matches(rows, self.info), batch_id)
         self._emit("bronze", bronze_rows.drop("_arrival_ms"), batch_id)
         # Silver feeds up to three outputs; it is computed once.
-        silver_rows = silver.silver_positions(bronze_rows, silver.STREAM, batch_id=batch_id).persist()
+        silver_rows = keep(silver.silver_positions(bronze_rows, silver.STREAM, batch_id=batch_id))
         self._emit("silver", silver_rows, batch_id)
         if "grouped" in self.build or "gold" in self.build:
-            teams = grouped.grouped_positions(silver_rows, self.offside_index).persist()
+            teams = keep(grouped.grouped_positions(silver_rows, self.offside_index))
             self._emit("grouped", teams, batch_id)
             self._emit("gold", grouped.gold_stream_possessions(teams, batch_id), batch_id)
-            teams.unpersist()
-        for kept in (silver_rows, bronze_rows, rows):
-            kept.unpersist()
 
 
 def start(

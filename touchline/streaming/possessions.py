@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.operators.frames import fill_down
+from touchline.operators.kept import keep, released
 from touchline.operators.lookup import attach, bounded
 from touchline.plans import bronze, gold, raw, silver
 from touchline.sources import constants
@@ -76,12 +77,14 @@ class PossessionStream:
         return table.sparkSession.read.schema(table.schema).parquet(path)
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        self._step(raw.message_positions(messages, self.topic).drop("_arrival_ms"), batch_id, finish=False)
+        with released():
+            self._step(raw.message_positions(messages, self.topic).drop("_arrival_ms"), batch_id, finish=False)
 
     def finish(self, spark: SparkSession, last_batch_id: int) -> None:
         """Publishes what the last batch left open, once the stream has ended."""
         held = self._read(spark, last_batch_id, "held")
-        self._step(held.limit(0), last_batch_id + 1, finish=True)
+        with released():
+            self._step(held.limit(0), last_batch_id + 1, finish=True)
 
     def _step(self, arrived: DataFrame, batch_id: int, finish: bool) -> None:
         spark = arrived.sparkSession
@@ -89,7 +92,7 @@ class PossessionStream:
             name: self._read(spark, batch_id - 1, name) for name in ("held", "seen", "directions", "open")
         }
         together = arrived if before["held"] is None else arrived.unionByName(before["held"])
-        rows = together = together.persist()
+        rows = keep(together)
         if before["seen"] is not None:
             # NULL: a half that was not seen before.
             rows_seen = attach(rows, bounded(before["seen"]), SECTION)
@@ -100,7 +103,7 @@ class PossessionStream:
         newest = bounded(rows.groupBy(*SECTION).agg(F.max("frame_id").alias("_newest")))
         timed = attach(rows, newest, SECTION, "inner")
         whole = F.lit(True) if finish else F.col("frame_id") < F.col("_newest")
-        complete = timed.filter(whole).drop("_newest").persist()
+        complete = keep(timed.filter(whole).drop("_newest"))
         self._write(timed.filter(~whole).drop("_newest"), batch_id, "held")
 
         seen = complete.groupBy(*SECTION).agg(F.max("frame_id").alias("last_frame"))
@@ -119,13 +122,11 @@ class PossessionStream:
         if before["open"] is not None:
             sums = [c for c in runs.columns if c not in (*RUN_KEYS, "run_start", "run_end", "opponent_id")]
             runs = extend_runs(before["open"], runs, sums)
-        runs = attach(runs, bounded(seen), SECTION, "inner").persist()
+        runs = keep(attach(runs, bounded(seen), SECTION, "inner"))
         going_on = F.lit(False) if finish else F.col("run_end") == F.col("last_frame")
         self._write(runs.filter(going_on).drop("last_frame"), batch_id, "open")
         finished = gold.sequence_columns(runs.filter(~going_on), self.rounded)
         self.publish("gold", finished.withColumn("stream_batch_id", F.lit(batch_id).cast("bigint")), batch_id)
-        for kept in (runs, complete, together):
-            kept.unpersist()
 
     def _runs(self, complete: DataFrame, directions: DataFrame) -> DataFrame:
         code = {"ball_possession_code": "ball_possession"}
