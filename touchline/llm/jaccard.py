@@ -5,16 +5,16 @@ the whole sequence is one). Two documents link when ``100 * intersection >= 80 *
 
 Signatures. Two linked sets of sizes ``x <= y`` differ in at most ``(x + y) / 9 <= x / 4`` elements. Sets are dealt into bands of
 sizes; a set takes part in its own band and, if a partner may be larger than the band's end, in the next. Each band partitions the hash
-domain into equal ranges. A set signs, in order of the ranges, its first ``x // 4 + 1`` non-empty ones, each by the sum of its mixed elements:
-of these at most ``x // 4`` can hold a differing element, so a linked pair shares one signature at least, and
-``x // 4 + 1 - (x + y) // 9`` in all (for that the ranges are so many that a set has more non-empty ones than it must sign, save for
-a chance below 1e-9 for a set).
+domain into equal ranges. A set signs, in order of the ranges, its first ``s = x * 11 // 40 + 1`` non-empty ones, each by the sum of its mixed
+elements: of these at most ``(x + y) // 9 <= x // 4`` can hold a differing element, so a linked pair shares
+``s - (x + y) // 9 >= 1`` signatures in a band (for that the ranges are so many that a set has more non-empty ones than it must
+sign, save for a chance below 1e-9 for a set).
 
 Work. Texts equal up to white space are one node first. Signatures are shuffled once; only those that several nodes share go on.
-(1) Every node is verified against the node it shares most signatures with among the smallest nodes of its buckets, and
-components are formed. (2) Buckets whose members are still in different components give the pairs across components whose
-sizes fit; a pair that shares as many signatures as a linked pair must is verified. So no bucket is expanded into its pairs: inside a component they
-can add nothing. Verification fetches the sets of the documents of the pairs only and compares them exactly.
+(1) Each bucket has a centre, its node with the largest buckets in all, which in a group of near copies is the text they stem from. A node and
+the centre it shares most with are verified if they share many, and components are formed: this joins a large group by as many pairs as it has nodes. (2) Buckets whose members are still in different components give the pairs across components whose
+sizes fit; a pair that shares as many signatures as a linked pair must is verified. So no group of linked documents is expanded into its pairs: inside
+a component they can add nothing. Verification compares whole sets, exactly.
 
 Rows without words have size 0 and are components of their own. A null ``doc_id`` takes part; its component is the smallest id in reach, or
 null if there is none. Repeated rows are one node. An empty table gives an empty result.
@@ -29,17 +29,22 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from touchline.llm.components import components
 from touchline.llm.exact_dedup import digest
-from touchline.llm.rows import free_names, small_or_whole
+from touchline.llm.rows import free_names, small_or_whole, stored
 from touchline.llm.words import Words, in_chunks, mixed, windows
 from touchline.operators.lineage import checkpointed
 
 SHINGLE = 5
 #: Links need intersection * 5 >= union * 4.
 BAND_GROWTH = 1.5625
+#: Nodes of a block in verification.
+BLOCK = 128
+#: Share of a node's signatures that makes a pair worth a look in the first pass; it decides no link.
+LIKELY = 0.45
+#: Share of its signatures that a pair needs to be of one family.
+FAMILY = 0.25
 _SHORT = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -53,7 +58,7 @@ def bands(size: int) -> list[int]:
 
 def ranges_of(end: int) -> int:
     """Number of ranges of the hash domain in a band: about three elements each, one each in small sets."""
-    return 1 << 16 if end <= 64 else int(0.3 * end) + 32
+    return 1 << 16 if end <= 64 else int(0.33 * end) + 32
 
 
 def shingles(words: Words) -> list[np.ndarray]:
@@ -71,6 +76,15 @@ def shingles(words: Words) -> list[np.ndarray]:
     return sets
 
 
+def signed_by(size: int) -> int:
+    """How many ranges a set of this size signs: a tenth more than can differ, so that sharing one by chance is not enough."""
+    return size * 11 // 40 + 1
+
+
+def signed(size: F.Column) -> F.Column:
+    return F.floor(size * 11 / 40) + 1
+
+
 def signatures(found: np.ndarray) -> np.ndarray:
     """PartEnum signatures of one sorted set, in all bands it takes part in."""
     size = len(found)
@@ -87,9 +101,11 @@ def signatures(found: np.ndarray) -> np.ndarray:
         held = (found >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
         begins = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
         stops = np.append(begins[1:], size)
-        signed = slice(0, size // 4 + 1)
-        total = sums[stops[signed]] - sums[begins[signed]]
-        made.append(mixed(total + held[begins[signed]] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number)))
+        first = slice(0, signed_by(size))
+        total = sums[stops[first]] - sums[begins[first]]
+        salted = mixed(total + held[begins[first]] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number))
+        # The last bit tells the two bands of a set apart.
+        made.append(salted & ~np.uint64(1) | np.uint64(number % 2))
     return np.concatenate(made)
 
 
@@ -137,50 +153,72 @@ def _sets(texts: DataFrame, keep: list[str]) -> DataFrame:
     return texts.mapInArrow(task, ", ".join(f"{c} {fields[c]}" for c in keep) + ", found binary")
 
 
-@F.pandas_udf(BooleanType())
-def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
-    made = []
-    for a, b in zip(left, right, strict=True):
-        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+def _checked(sets: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of one block of a family that link."""
+    found = {node: np.frombuffer(value, np.uint64) for node, value in zip(sets["node"], sets["found"], strict=True)}
+
+    def linked(a: int, b: int) -> bool:
+        x, y = found[a], found[b]
         both = len(np.intersect1d(x, y, assume_unique=True))
-        made.append(100 * both >= 80 * (len(x) + len(y) - both) > 0)
-    return pd.Series(made, dtype=bool)
+        return 100 * both >= 80 * (len(x) + len(y) - both)
+
+    return pairs.loc[[linked(a, b) for a, b in zip(pairs["a"], pairs["b"], strict=True)], ["a", "b"]]
 
 
 def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes that link. The pairs, two longs each, are broadcast to the texts while they are few."""
-    ends = small_or_whole(pairs.select("a", F.col("b").alias("pair_b")))
-    centres = small_or_whole(checkpointed(pairs.select(F.col("a").alias("centre")).distinct()))
-    members = _sets(texts.join(ends, F.col("node") == F.col("pair_b")).select("a", "node", "text"), ["a", "node"])
-    others = _sets(texts.join(centres, F.col("node") == F.col("centre")).select("centre", "text"), ["centre"])
-    joined = members.withColumnRenamed("found", "mine").join(others.withColumnRenamed("found", "its"), F.col("a") == F.col("centre"))
-    return joined.where(_linked("mine", "its")).select("a", F.col("node").alias("b"))
+    """The pairs ``a, b`` of nodes that link; ``near`` tells which of the pairs make families.
+
+    Families, components of the near pairs, are cut into blocks of ``BLOCK`` nodes, and each set travels once to every
+    pair of blocks in which it is needed. So a task holds two blocks of sets at most, and a set goes to few tasks.
+    """
+    family = components(pairs.where("near").select("a", "b"))
+    rank = F.row_number().over(Window.partitionBy("component").orderBy("node")) - 1
+    cut = family.select("node", F.xxhash64("component", F.floor(rank / BLOCK)).alias("block"))
+    blocks = small_or_whole(checkpointed(cut))
+    sides = pairs.select("a", "b")
+    for side in "ab":
+        named = blocks.select(F.col("node").alias(side), F.col("block").alias(f"{side}_block"))
+        sides = sides.join(named, side, "left").withColumn(f"{side}_block", F.coalesce(f"{side}_block", side))
+    keyed = checkpointed(sides.select(F.least("a_block", "b_block").alias("i"), F.greatest("a_block", "b_block").alias("j"), "a", "b"))
+    ends = keyed.select("i", "j", F.explode(F.array("a", "b")).alias("needed")).distinct()
+    needed = small_or_whole(checkpointed(ends))
+    wanted = texts.join(needed, F.col("node") == F.col("needed")).select("i", "j", "node", "text")
+    key = ["i", "j"]
+    sets = _sets(wanted, [*key, "node"])
+    return sets.groupBy(key).cogroup(keyed.groupBy(key)).applyInPandas(_checked, "a long, b long")
 
 
 def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of nodes with their texts: ``node, size``, and verified links ``a, b`` that connect whatever links connect."""
-    rows = _signed(texts)
-    window = F.count("*").over(Window.partitionBy("signature"))
-    held = checkpointed(rows.withColumn("members", window).where("members > 1 or size > 0 or signature = 0").drop("members"))
-    sizes = checkpointed(held.groupBy("node").agg(F.max("size").alias("size")))
-    buckets = held.where("signature <> 0").select("signature", "node")
-    centres = buckets.groupBy("signature").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1")
-    stars = buckets.join(centres, "signature").where("node <> a").groupBy("node", "a").agg(F.count("*").alias("shared"))
-    best = stars.groupBy("node").agg(F.max(F.struct("shared", "a")).alias("best"))
-    first = checkpointed(verified(texts, checkpointed(best.select(F.col("best.a").alias("a"), F.col("node").alias("b")))))
-    grouped = components(first)
-    known = buckets.join(grouped, "node", "left").select("signature", "node", F.coalesce("component", "node").alias("component"))
-    known = checkpointed(known.join(sizes, "node"))
-    split = known.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    mixed_buckets = known.join(split.select("signature"), "signature")
-    left = mixed_buckets.select("signature", F.col("node").alias("a"), F.col("component").alias("a_component"), F.col("size").alias("a_size"))
-    right = mixed_buckets.select("signature", F.col("node").alias("b"), F.col("component").alias("b_component"), F.col("size").alias("b_size"))
+    bucket = Window.partitionBy("signature")
+    rows = _signed(texts).withColumn("members", F.count("*").over(bucket))
+    held = stored(rows.where("members > 1 or size > 0 or signature = 0"))
+    weight = F.sum(F.when(F.col("members") > 1, F.col("members")).otherwise(0))
+    sizes = held.groupBy("node").agg(F.max("size").alias("size"), weight.alias("weight"))
+    sizes = checkpointed(sizes.withColumn("place", F.monotonically_increasing_id()))
+    buckets = held.where("signature <> 0 and members > 1").select("signature", "node")
+    weighed = buckets.join(small_or_whole(sizes.select("node", "weight")), "node")
+    central = weighed.withColumn("centre", F.max(F.struct("weight", "node")).over(bucket)["node"])
+    stars = central.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("shared"))
+    best = stars.groupBy("node").agg(F.max(F.struct("shared", "centre")).alias("best"))
+    likely = best.join(sizes, "node").where(F.col("best.shared") >= LIKELY * signed(F.col("size")))
+    first = checkpointed(verified(texts, checkpointed(likely.select(F.col("best.centre").alias("a"), F.col("node").alias("b"), F.lit(True).alias("near")))))
+    known = small_or_whole(checkpointed(components(first)))
+    placed = buckets.join(known, "node", "left").join(small_or_whole(sizes), "node")
+    placed = placed.select("signature", "place", F.coalesce("component", "node").alias("component"), "size")
+    split = placed.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).where("low < high")
+    left, right = (split.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "component", "size")]) for side in "ab")
     fit = (F.col("a_component") < F.col("b_component")) & (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
-    across = left.join(right, "signature").where(fit).groupBy("a", "b", "a_size", "b_size").agg(F.count("*").alias("shared"))
-    least = F.floor(F.least("a_size", "b_size") / 4) + 1 - F.floor((F.col("a_size") + F.col("b_size")) / 9)
-    candidates = checkpointed(across.where(F.col("shared") >= least).select("a", "b"))
-    second = verified(texts, candidates)
-    return sizes, checkpointed(first.unionByName(second))
+    across = left.join(right, "signature").where(fit).groupBy("a_place", "b_place")
+    odd = F.col("signature").bitwiseAND(F.lit(1))
+    across = across.agg(F.greatest(F.sum(odd), F.sum(1 - odd)).alias("shared"))
+    for side in "ab":
+        named = sizes.select(F.col("place").alias(f"{side}_place"), F.col("node").alias(side), F.col("size").alias(f"{side}_size"))
+        across = across.join(small_or_whole(named), f"{side}_place")
+    least = signed(F.least("a_size", "b_size")) - F.floor((F.col("a_size") + F.col("b_size")) / 9)
+    near = F.col("shared") >= FAMILY * signed(F.least("a_size", "b_size"))
+    second = verified(texts, checkpointed(across.where(F.col("shared") >= least).select("a", "b", near.alias("near"))))
+    return sizes.select("node", "size"), checkpointed(first.unionByName(second))
 
 
 def grouped(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.catalog.tables import work_folder
 from touchline.operators.lineage import checkpointed
 
 #: White space and words of the contracts, for Java and Python expressions alike.
@@ -37,6 +38,13 @@ def small_or_whole(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Writes a large table as Parquet into the shared folder and reads it back: a checkpoint that takes less room."""
+    path = work_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def numbered(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, int]:
     """Adds gapless numbers from 0 in the given order, and tells how many rows there are.
 
