@@ -48,7 +48,13 @@ def test_time_major_json(spark, tmp_path):
     assert got[10000, "H"].x == 1.5 and got[10000, "H"].y == 2.25 and got[10000, "H"].timestamp is not None
     assert got[10000, "BALL"].x is None and got[10000, "BALL"].m_flag is None and got[10003, "H"].x is None
     bad = {r.field: r.malformed for r in quality.malformed_numbers(raw.explode_frames(source)).collect()}
-    assert bad["X"] == 1 and bad["M"] == 1 and bad["Y"] == 0
+    assert bad["X"] == 2 and bad["M"] == 1 and bad["Y"] == 0
+
+
+def test_whole_numbers_written_as_decimals(spark):
+    texts = spark.createDataFrame([("1.0",), ("2",), ("x",), ("1.5",), ("",), (None,), ("9007199254740993",)], "text string")
+    got = [tuple(r) for r in texts.select(raw.whole(texts.text), raw.whole(texts.text, "bigint")).collect()]
+    assert got == [(1, 1), (2, 2), (None, None), (None, None), (None, None), (None, None), (None, 9007199254740993)]
 
 
 def test_file_stream_equals_the_batch_read(spark, tmp_path):

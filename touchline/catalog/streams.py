@@ -50,8 +50,12 @@ def stream_bronze_silver_gold(spark: SparkSession, folder: str) -> DataFrame:
 def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3) -> DataFrame:
     """The rows in the order of frames, cut into micro-batches anywhere between frames."""
     work = work_folder(spark)
-    ordered = raw_table(spark, folder).repartitionByRange(parts, "frame_id")
-    staged = _staged(ordered.withColumn("part", F.spark_partition_id()), work)
+    rows = raw_table(spark, folder)
+    # Cut at frame numbers, so the rows of a part stay in as many tasks as they are.
+    shares = [n / parts for n in range(1, parts)]
+    cuts = rows.agg(F.percentile_approx("frame_id", shares)).first()[0] or []
+    part = sum(((F.col("frame_id") > cut).cast("int") for cut in cuts), F.lit(0))
+    staged = _staged(rows.withColumn("part", part), work)
     stream = possessions.PossessionStream(
         match_info(spark), f"{work}/state", levels.to_tables(f"{work}/out"), TOPIC, rounded=False
     )

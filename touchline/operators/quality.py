@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.operators.frames import eligible
+from touchline.plans.raw import READ
 
 
 def unresolved_directions(bronze: DataFrame) -> DataFrame:
-    """Rows without a direction per match; their coordinates were normalised as if it were -1."""
-    return (
-        bronze.filter(F.col("attack_direction").isNull())
-        .groupBy("match_id")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.min("frame_id").alias("first_frame"),
-            F.max("frame_id").alias("last_frame"),
-        )
-    )
+    """Per match and half with rows that got no direction: how many of all rows, and their share.
+
+    Their coordinates were normalised as if the direction were -1.
+    """
+    missing = F.count_if(F.col("attack_direction").isNull())
+    halves = bronze.groupBy("match_id", "game_section").agg(F.count("*").alias("total_rows"), missing.alias("unresolved_rows"))
+    share = F.round(F.col("unresolved_rows") / F.col("total_rows"), 4).alias("unresolved_share")
+    return halves.where("unresolved_rows > 0").select("*", share)
 
 
 def unknown_matches(rows: DataFrame, info: DataFrame) -> DataFrame:
@@ -43,15 +42,15 @@ def repeated_rows(rows: DataFrame) -> DataFrame:
 
 
 def malformed_numbers(entities: DataFrame, frame: str = "entity.Frame") -> DataFrame:
-    """Per numeric field, how many texts are no numbers; those values are NULL in the raw table."""
-    fields = ("A", "D", "S", "X", "Y", "M", "BallPossession", "BallStatus")
+    """Per field of a frame, how many values the raw stage turns into NULL; it reads with the very same casts."""
+    fields = [name for name in READ if name in entities.select(f"{frame}.*").columns]
 
     def malformed(name: str) -> Column:
         text = F.col(f"{frame}.{name}")
-        return text.isNotNull() & text.try_cast("double").isNull()
+        return text.isNotNull() & READ[name](text).isNull()
 
     counts = entities.agg(*[F.count_if(malformed(name)).alias(name) for name in fields])
-    return counts.unpivot([], list(fields), "field", "malformed")
+    return counts.unpivot([], fields, "field", "malformed")
 
 
 def alignment(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

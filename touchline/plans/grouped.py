@@ -113,9 +113,10 @@ def with_ordinals(runs: DataFrame, width: int = BLOCK) -> DataFrame:
 def with_clipped(runs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Flags sequences that reach the first or last frame at hand of their half."""
     keys = keys or SECTION
-    edges = runs.groupBy(*keys).agg(F.min("run_start").alias("_first"), F.max("run_end").alias("_last"))
-    touches = (F.col("run_start") <= F.col("_first")) | (F.col("run_end") >= F.col("_last"))
-    return runs.join(edges, keys, "left").withColumn("sequence_clipped", touches).drop("_first", "_last")
+    # A window over the sequences, of which there are few: a join with their own edges would run all before it twice.
+    half = Window.partitionBy(*keys)
+    touches = (F.col("run_start") <= F.min("run_start").over(half)) | (F.col("run_end") >= F.max("run_end").over(half))
+    return runs.withColumn("sequence_clipped", touches)
 
 
 def sequence_columns(runs: DataFrame, batch_id: int | None, rounded: bool = True) -> DataFrame:

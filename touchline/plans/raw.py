@@ -15,6 +15,19 @@ def number(text: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def whole(text: Column, kind: str = "int") -> Column:
+    """Text or number as a whole number, also where it is written as ``1.0``; anything else becomes NULL."""
+    value = text.try_cast("double")
+    return F.coalesce(text.try_cast(kind), F.when(value == F.floor(value), value.try_cast(kind)))
+
+
+#: How each field of a frame is read; the audit counts what these turn into NULL.
+READ = {
+    "N": lambda text: whole(text, "bigint"), "T": F.try_to_timestamp, "X": number, "Y": number, "Z": number, "D": number,
+    "S": number, "A": number, "M": whole, "BallPossession": whole, "BallStatus": whole,
+}
+
+
 def explode_frames(records: DataFrame) -> DataFrame:
     """One row per entity; records with an empty or missing array give none."""
     return records.select(F.col("n").alias("frame_id"), F.explode("frames").alias("entity"))
@@ -36,9 +49,9 @@ def raw_positions(records: DataFrame) -> DataFrame:
         number(frame["D"]).alias("distance"),
         number(frame["S"]).alias("speed"),
         number(frame["A"]).alias("acceleration"),
-        frame["M"].try_cast("int").alias("m_flag"),
-        frame["BallPossession"].try_cast("int").alias("ball_possession"),
-        frame["BallStatus"].try_cast("int").alias("ball_status"),
+        whole(frame["M"]).alias("m_flag"),
+        whole(frame["BallPossession"]).alias("ball_possession"),
+        whole(frame["BallStatus"]).alias("ball_status"),
     )
 
 
@@ -49,7 +62,7 @@ def message_positions(messages: DataFrame, topic: str | None = None) -> DataFram
         "_arrival_ms",
         owner["MatchId"].alias("match_id"),
         owner["GameSection"].alias("game_section"),
-        frame["N"].try_cast("bigint").alias("frame_id"),
+        whole(frame["N"], "bigint").alias("frame_id"),
         owner["TeamId"].alias("team_id"),
         owner["PersonId"].alias("person_id"),
         frame["T"].alias("timestamp"),
@@ -58,9 +71,9 @@ def message_positions(messages: DataFrame, topic: str | None = None) -> DataFram
         number(frame["D"]).alias("distance"),
         number(frame["S"]).alias("speed"),
         number(frame["A"]).alias("acceleration"),
-        frame["M"].try_cast("int").alias("m_flag"),
-        frame["BallPossession"].try_cast("int").alias("ball_possession_code"),
-        frame["BallStatus"].try_cast("int").alias("ball_status"),
+        whole(frame["M"]).alias("m_flag"),
+        whole(frame["BallPossession"]).alias("ball_possession_code"),
+        whole(frame["BallStatus"]).alias("ball_status"),
     )
 
 

@@ -12,9 +12,9 @@ RECOMMENDED_CONF = {
     # Hot matches are split at run time even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Frames are many and small, so hash aggregation with object state pays for
-    # far more keys than the default of 128 before it falls back to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # Frames are many and small, so hash aggregation with object state pays for more keys than the default of 128;
+    # a thousand frames of a few hundred rows are some tens of megabytes in a task.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
 }
 
 

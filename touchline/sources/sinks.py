@@ -15,9 +15,10 @@ def write_by_match(
     data is no bottleneck, and no task writes a small file for every match. The frames of a
     block lie together, so later stages combine them before their shuffle.
     """
-    block = F.floor(F.col(frame) / frames_per_file)
-    spread = df.repartition("match_id", block).sortWithinPartitions("match_id", frame)
-    spread.write.mode(mode).partitionBy("match_id").parquet(path)
+    blocked = df.withColumn("_block", F.floor(F.col(frame) / frames_per_file))
+    # Unlike a plain repartition, adaptive execution may split the large partitions of this one.
+    spread = blocked.hint("rebalance", "match_id", "_block").sortWithinPartitions("match_id", frame)
+    spread.drop("_block").write.mode(mode).partitionBy("match_id").parquet(path)
 
 
 def as_messages(df: DataFrame, columns: list[str]) -> DataFrame:

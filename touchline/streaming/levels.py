@@ -76,11 +76,13 @@ class LevelPipeline:
         (self.publish if level in self.emit else dry_run)(level, rows, batch_id)
         self.counts[level] = counted.get["rows"]
 
-    def _check_matches(self, rows: DataFrame) -> None:
-        unknown = quality.unknown_matches(rows, self.info)
-        names = [row.match_id for row in unknown.limit(20).collect()]
-        if names:
-            raise UnknownMatches("no metadata for " + ", ".join(sorted(names)))
+    def _check_matches(self, rows: DataFrame, batch_id: int) -> None:
+        """Publishes all unknown matches and fails with their number and the first of them."""
+        unknown = keep(quality.unknown_matches(rows, self.info))
+        found, first = unknown.agg(F.count("*"), F.min("match_id")).first()
+        if found:
+            self.publish("unknown_matches", unknown, batch_id)
+            raise UnknownMatches(f"no metadata for {found} matches, the first is {first}")
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         with released():
@@ -90,7 +92,7 @@ class LevelPipeline:
         self.counts = {}
         rows = keep(raw.message_positions(messages, self.topic))
         if self.strict:
-            self._check_matches(rows)
+            self._check_matches(rows, batch_id)
         bronze_rows = keep(bronze.bronze_stream_positions(rows, self.info))
         if self.audit:
             self.publish("audit", quality.unresolved_directions(bronze_rows), batch_id)
