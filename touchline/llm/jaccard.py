@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.components import components
 from touchline.llm.exact_dedup import digest
-from touchline.llm.rows import free_names, small_or_whole, stored
+from touchline.llm.rows import free_names, numbered, small_or_whole, stored
 from touchline.llm.words import Words, in_chunks, mixed, windows
 from touchline.operators.lineage import checkpointed
 
@@ -41,6 +41,8 @@ SHINGLE = 5
 BAND_GROWTH = 1.5625
 #: Nodes of a block in verification.
 BLOCK = 128
+#: Elements looked at together when a block is verified.
+ELEMENTS = 8192
 #: Share of a node's signatures that makes a pair worth a look in the first pass; it decides no link.
 LIKELY = 0.45
 #: Share of its signatures that a pair needs to be of one family.
@@ -153,32 +155,53 @@ def _sets(texts: DataFrame, keep: list[str]) -> DataFrame:
     return texts.mapInArrow(task, ", ".join(f"{c} {fields[c]}" for c in keep) + ", found binary")
 
 
-def _checked(sets: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
-    """The pairs of one block of a family that link."""
-    found = {node: np.frombuffer(value, np.uint64) for node, value in zip(sets["node"], sets["found"], strict=True)}
+def _shared(found: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``rows`` with the sets ``columns``: products of 0/1 matrices, some elements at a time."""
+    elements, owner = np.concatenate(found), np.repeat(np.arange(len(found)), [len(f) for f in found])
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    number = np.cumsum(np.concatenate([[False], elements[1:] != elements[:-1]]))
+    common = np.bincount(number)[number] > 1
+    number, owner = np.unique(number[common], return_inverse=True)[1], owner[common]
+    both = np.zeros((len(rows), len(columns)), dtype=np.int64)
+    for start in range(0, int(number[-1]) + 1 if len(number) else 0, ELEMENTS):
+        part = slice(*np.searchsorted(number, [start, start + ELEMENTS]))
+        has = np.zeros((len(found), ELEMENTS), dtype=np.float32)
+        has[owner[part], number[part] - start] = 1
+        both += (has[rows] @ has[columns].T).astype(np.int64)
+    return both
 
-    def linked(a: int, b: int) -> bool:
-        x, y = found[a], found[b]
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * both >= 80 * (len(x) + len(y) - both)
 
-    return pairs.loc[[linked(a, b) for a, b in zip(pairs["a"], pairs["b"], strict=True)], ["a", "b"]]
+def _checked(sets: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of one block of a family that link."""
+    found = [np.frombuffer(value, np.uint64) for value in sets["found"]]
+    if not found or pairs.empty:
+        return pairs[["a", "b"]].iloc[:0]
+    places = pd.Series(np.arange(len(found)), index=sets["node"])
+    places = places[~places.index.duplicated()]
+    rows, row = np.unique(places[pairs["a"]].to_numpy(), return_inverse=True)
+    columns, column = np.unique(places[pairs["b"]].to_numpy(), return_inverse=True)
+    both = _shared(found, rows, columns)[row, column]
+    size = np.array([len(f) for f in found])
+    union = size[rows][row] + size[columns][column] - both
+    return pairs.loc[100 * both >= 80 * union, ["a", "b"]]
 
 
 def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of nodes that link; ``near`` tells which of the pairs make families.
 
-    Families, components of the near pairs, are cut into blocks of ``BLOCK`` nodes, and each set travels once to every
-    pair of blocks in which it is needed. So a task holds two blocks of sets at most, and a set goes to few tasks.
+    The nodes of all pairs, ordered by their families (components of the near pairs), are cut into blocks of ``BLOCK`` nodes, and
+    each set travels once to every pair of blocks in which it is needed. So a task holds two blocks of sets at most, and a set goes to few tasks.
     """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     family = components(pairs.where("near").select("a", "b"))
-    rank = F.row_number().over(Window.partitionBy("component").orderBy("node")) - 1
-    cut = family.select("node", F.xxhash64("component", F.floor(rank / BLOCK)).alias("block"))
-    blocks = small_or_whole(checkpointed(cut))
+    placed = ends.join(family, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    counted, _ = numbered(placed, [F.col("component"), F.col("node")], "number")
+    blocks = small_or_whole(checkpointed(counted.select("node", F.floor(F.col("number") / BLOCK).alias("block"))))
     sides = pairs.select("a", "b")
     for side in "ab":
         named = blocks.select(F.col("node").alias(side), F.col("block").alias(f"{side}_block"))
-        sides = sides.join(named, side, "left").withColumn(f"{side}_block", F.coalesce(f"{side}_block", side))
+        sides = sides.join(named, side)
     keyed = checkpointed(sides.select(F.least("a_block", "b_block").alias("i"), F.greatest("a_block", "b_block").alias("j"), "a", "b"))
     ends = keyed.select("i", "j", F.explode(F.array("a", "b")).alias("needed")).distinct()
     needed = small_or_whole(checkpointed(ends))
