@@ -11,10 +11,12 @@ elements: of these at most ``(x + y) // 9 <= x // 4`` can hold a differing eleme
 sign, save for a chance below 1e-9 for a set).
 
 Work. Texts equal up to white space are one node first. Signatures are shuffled once; only those that several nodes share go on.
-(1) Each bucket has a centre, its node with the largest buckets in all, which in a group of near copies is the text they stem from. A node and
-the centre it shares most with are verified if they share many, and components are formed: this joins a large group by as many pairs as it has nodes. (2) Buckets whose members are still in different components give the pairs across components whose
-sizes fit; a pair that shares as many signatures as a linked pair must is verified. So no group of linked documents is expanded into its pairs: inside
-a component they can add nothing. Verification compares whole sets, exactly.
+Each bucket has a centre, its node with the largest buckets in all, which in a group of near copies is the text they stem from. (1) A node and
+the centre it shares most with are verified if they share many, and components are formed: this joins a large group by as many pairs as it has nodes.
+(2) Nodes that share some signatures with their centre form families with it. A family is compared in blocks, as products of 0/1
+matrices, where its nodes are in different components; no pair becomes a row. (3) Buckets whose members are still in different components and
+families give the pairs whose sizes fit; a pair that shares as many signatures as a linked pair must is verified. Verification compares whole sets,
+exactly.
 
 Rows without words have size 0 and are components of their own. A null ``doc_id`` takes part; its component is the smallest id in reach, or
 null if there is none. Repeated rows are one node. An empty table gives an empty result.
@@ -211,6 +213,55 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.groupBy(key).cogroup(keyed.groupBy(key)).applyInPandas(_checked, "a long, b long")
 
 
+def _tied(part: pd.DataFrame) -> pd.DataFrame:
+    """Of two blocks of a family, connections ``a, b`` between nodes of different components that links make."""
+    found = [np.frombuffer(value, np.uint64) for value in part["found"]]
+    rows, columns = (np.flatnonzero(part["block"] == part[side]) for side in "ij")
+    both = _shared(found, rows, columns)
+    size = np.array([len(f) for f in found])
+    link = 100 * both >= 80 * (size[rows][:, None] + size[columns] - both)
+    # The smallest row in reach becomes the label of a row and a column.
+    label, none = np.arange(len(rows)), len(rows)
+    while True:
+        reached = np.where(link, label[:, None], none).min(0, initial=none)
+        lower = np.minimum(label, np.where(link, reached, none).min(1, initial=none))
+        if (lower == label).all():
+            break
+        label = lower
+    held = reached < none
+    ends = pd.DataFrame({"x": np.concatenate([rows[label], rows[reached[held]]]), "y": np.concatenate([rows, columns[held]])})
+    node, component = part["node"].to_numpy(), part["component"].to_numpy()
+    made = pd.DataFrame({"a": node[ends["x"]], "b": node[ends["y"]], "p": component[ends["x"]], "q": component[ends["y"]]})
+    return made[made["p"] != made["q"]].drop_duplicates(["p", "q"])[["a", "b"]]
+
+
+def inside(texts: DataFrame, family: DataFrame, known: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Connections ``a, b`` that link what links connect within families.
+
+    The nodes of a family, ordered by component and size, are cut into blocks of ``BLOCK``. Two blocks are compared as a whole by matrix
+    products in one task, unless they hold a single component or no sizes that fit; only what joins components is returned.
+    """
+    placed = family.withColumnRenamed("component", "family").join(known, "node", "left").join(sizes.select("node", "size"), "node")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    counted, _ = numbered(placed, [F.col(c) for c in ("family", "component", "size", "node")], "number")
+    starts = counted.groupBy("family").agg(F.min("number").alias("start"))
+    cut = counted.join(starts, "family").withColumn("block", F.floor((F.col("number") - F.col("start")) / BLOCK))
+    cut = checkpointed(cut.select("node", "family", "component", "block", "size"))
+    piece = cut.groupBy("family", "block").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("small"), F.max("size").alias("large")
+    )
+    left, right = (piece.select("family", *[F.col(c).alias(f"{side}_{c}") for c in piece.columns[1:]]) for side in "ij")
+    single = (F.least("i_low", "j_low") == F.greatest("i_high", "j_high"))
+    fit = (F.col("j_large") * 5 >= F.col("i_small") * 4) & (F.col("i_large") * 5 >= F.col("j_small") * 4)
+    blocks = left.join(right, "family").where((F.col("i_block") <= F.col("j_block")) & ~single & fit)
+    met = blocks.select("family", F.col("i_block").alias("i"), F.col("j_block").alias("j"))
+    met = small_or_whole(checkpointed(met.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))))
+    nodes = small_or_whole(checkpointed(cut.select(F.col("node").alias("member"), "family", "component", "block").join(met.select("family", "block").distinct(), ["family", "block"])))
+    wanted = texts.join(nodes, F.col("node") == F.col("member")).select("node", "family", "component", "block", "text")
+    dealt = _sets(wanted, ["node", "family", "component", "block"]).join(met, ["family", "block"])
+    return dealt.groupBy("family", "i", "j").applyInPandas(_tied, "a long, b long")
+
+
 def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of nodes with their texts: ``node, size``, and verified links ``a, b`` that connect whatever links connect."""
     bucket = Window.partitionBy("signature")
@@ -224,14 +275,21 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     central = weighed.withColumn("centre", F.max(F.struct("weight", "node")).over(bucket)["node"])
     stars = central.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("shared"))
     best = stars.groupBy("node").agg(F.max(F.struct("shared", "centre")).alias("best"))
-    likely = best.join(sizes, "node").where(F.col("best.shared") >= LIKELY * signed(F.col("size")))
+    best = checkpointed(best.join(sizes, "node").select("node", "best", "size"))
+    family = checkpointed(components(best.where(F.col("best.shared") >= FAMILY * signed(F.col("size"))).select("node", "best.centre")))
+    likely = best.where(F.col("best.shared") >= LIKELY * signed(F.col("size")))
     first = checkpointed(verified(texts, checkpointed(likely.select(F.col("best.centre").alias("a"), F.col("node").alias("b"), F.lit(True).alias("near")))))
-    known = small_or_whole(checkpointed(components(first)))
-    placed = buckets.join(known, "node", "left").join(small_or_whole(sizes), "node")
-    placed = placed.select("signature", "place", F.coalesce("component", "node").alias("component"), "size")
-    split = placed.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).where("low < high")
-    left, right = (split.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "component", "size")]) for side in "ab")
-    fit = (F.col("a_component") < F.col("b_component")) & (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
+    first = checkpointed(first.unionByName(inside(texts, family, components(first), sizes)))
+    known, kin = components(first), family.withColumnRenamed("component", "family")
+    held_by = sizes.join(known, "node", "left").join(kin, "node", "left").select(
+        "node", "place", "size", F.coalesce("component", "node").alias("component"), F.coalesce("family", "node").alias("family")
+    )
+    placed = buckets.join(small_or_whole(checkpointed(held_by)), "node").drop("node")
+    apart = {f"{end}_{c}": f(c).over(bucket) for c in ("component", "family") for end, f in (("low", F.min), ("high", F.max))}
+    split = placed.withColumns(apart).where("low_component < high_component and low_family < high_family")
+    left, right = (split.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "component", "family", "size")]) for side in "ab")
+    fit = (F.col("a_component") < F.col("b_component")) & (F.col("a_family") != F.col("b_family"))
+    fit &= (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
     across = left.join(right, "signature").where(fit).groupBy("a_place", "b_place")
     odd = F.col("signature").bitwiseAND(F.lit(1))
     across = across.agg(F.greatest(F.sum(odd), F.sum(1 - odd)).alias("shared"))
