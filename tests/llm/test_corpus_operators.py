@@ -5,6 +5,7 @@ import sys
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -302,3 +303,16 @@ def test_permutation(rows):
     p = sharding.Permutation(rows)
     there = p.position(np.arange(rows))
     assert sorted(there.tolist()) == list(range(rows)) and (p.number(there) == np.arange(rows)).all()
+
+
+def test_blocks_count_what_sets_share_and_join_components():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 20_000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(base[: 200 * (i % 3 + 1)], 150)) for i in range(12)] + [np.unique(base), np.unique(base[30:])]
+    places = np.arange(len(sets))
+    both = jaccard._shared(sets, places, places)
+    assert both.tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    part = pd.DataFrame({"node": places, "component": places, "block": 0, "i": 0, "j": 0, "found": [s.tobytes() for s in sets]})
+    assert jaccard._tied(part).to_numpy().tolist() == [[12, 13]]
+    part["component"] = 0
+    assert jaccard._tied(part).empty
