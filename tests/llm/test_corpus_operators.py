@@ -210,6 +210,20 @@ def test_recompression_of_runs_and_periods_equals_brute_force(spark, monkeypatch
     assert got == corpus.in_order(corpus.removed_windows(rows))
 
 
+def test_recompression_verifies_what_short_hashes_propose(spark):
+    draw = random.Random(4)
+    passage = [f"p{i}" for i in range(12)]
+    rows = [(i, " ".join([f"o{draw.randrange(9)}" for _ in range(25)] + passage + [f"o{draw.randrange(9)}" for _ in range(25)]), "en", "s") for i in range(150)]
+    rows += [(200 + i, rows[i][1] + " end", "en", "s") for i in range(20)]
+    frame = corpus.frame(spark, rows).repartition(8)
+    texts = frame.selectExpr("doc_id as doc", "doc_id as node", "text")
+    likely = {n: sum(r["last"] - r["first"] + 1 for r in recompression.repeats(texts, n).where(f"kind = {recompression.LIKELY}").collect()) for n in (1, 5)}
+    # With one byte, many windows under the key of the common passage seem to repeat others.
+    assert likely[1] > likely[5] + 100
+    got = rows_of(recompression.digests(frame, 1), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == corpus.in_order(corpus.removed_windows(rows))
+
+
 needs_model = pytest.mark.skipif(not os.path.exists(pieces.MODEL), reason="no tokenizer files")
 
 

@@ -11,9 +11,12 @@ place. Runs and pairs at the end of a document have no span, since a copy may go
 
 Anchors. Equal windows hold the same spans. A window's anchor is the span inside it with the smallest hash, of the highest round that
 has one (round 0 always has: the words). The windows of one anchor are shuffled together, keyed by the hash of all words of the span: equal
-windows meet under one key, different texts under one key only where they share the span. There windows are compared by 64-bit
-mixes of key and window, in order of document and place, one key at a time; the first stays, the later are repeats. Windows repeated within a task's
-chunk are settled there, so what is frequent is sent about once for each chunk. The repeats come back to their documents as ranges.
+windows meet under one key, different texts under one key only where they share the span. There windows are compared by ``SENT`` bytes of
+their hash, in order of document and place, one key at a time; the first is a source, the later are likely repeats. Windows repeated within a task's
+chunk are settled there by 64 bits, so what is frequent is sent about once for each chunk. Both come back to their documents as ranges.
+
+Verification. The short hash only proposes. Sources and likely repeats are hashed again from their words, by 128 bits of BLAKE2, and meet by that hash.
+Windows without a source among their equals had met a different text: their first stays, the others are repeats of it.
 
 Memory: a task holds some megabytes of text, or one document; a key's distinct windows of the group at hand. A null or short text has no
 window and loses nothing. A null ``doc_id`` comes last in the order; rows of one id and different texts follow each other by a hash;
@@ -23,6 +26,7 @@ rows repeated with id and text are one document and all reported alike. An empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -34,8 +38,12 @@ from touchline.llm.words import Words, in_chunks, mixed, windows
 
 WINDOW = 20
 ROUNDS = 2
-#: Bytes of a window's hash that travel; they tell windows of one key apart.
+#: Bytes of a window's hash that travel; windows of one key that agree in them are verified.
 SENT = 5
+#: What a range of windows is: settled within its chunk, likely repeated, or the first of likely equal ones.
+SETTLED, LIKELY, SOURCE = range(3)
+#: Different windows whose digests a task holds before it sends them.
+HELD = 1 << 17
 _ODD = [int(x) | 1 for x in mixed(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))]
 
 
@@ -143,7 +151,7 @@ def anchors(hashes: np.ndarray, first: np.ndarray, starts: np.ndarray) -> tuple[
     return keys, number
 
 
-def _chunk_rows(words: Words, order: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _chunk_rows(words: Words, order: np.ndarray, node: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
     """Rows ``key, doc, node, first, count, hashes``; rows with null hashes are settled repeats."""
     hashes, first = words.hashes(), words.first
     count = np.maximum(np.diff(first) - WINDOW + 1, 0)
@@ -164,112 +172,201 @@ def _chunk_rows(words: Words, order: np.ndarray, node: np.ndarray) -> Iterator[p
     low = np.flatnonzero(cut)
     high = np.append(low[1:], len(starts))
     settled = repeat[low]
-    sent = np.ascontiguousarray(prints.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
-    blobs = [None if s else sent[a * SENT : b * SENT] for a, b, s in zip(low.tolist(), high.tolist(), settled.tolist(), strict=True)]
+    sent = np.ascontiguousarray(prints.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
+    blobs = [None if s else sent[a * size : b * size] for a, b, s in zip(low.tolist(), high.tolist(), settled.tolist(), strict=True)]
     key = np.where(settled, node[document[low]], keys[low].view(np.int64))
     columns = [key, order[document[low]], node[document[low]], offset[low].astype(np.int32), (high - low).astype(np.int32)]
     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(blobs, pa.binary())], ["key", "doc", "node", "first", "count", "hashes"])
 
 
-def _anchored(texts: DataFrame) -> DataFrame:
+def _anchored(texts: DataFrame, size: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.sort_by([("doc", "ascending"), ("node", "ascending")])
             order, node = batch.column("doc").to_numpy(), batch.column("node").to_numpy()
             for words in in_chunks(batch.column("text")):
-                yield from _chunk_rows(words, order[words.rows], node[words.rows])
+                yield from _chunk_rows(words, order[words.rows], node[words.rows], size)
 
     return texts.mapInArrow(task, "key long, doc long, node long, first int, count int, hashes binary")
 
 
-def _ranges(node: np.ndarray, at: np.ndarray, repeat: np.ndarray) -> pa.RecordBatch:
-    """Ranges ``node, first, last`` of consecutive repeated windows."""
-    node, at = node[repeat], at[repeat]
+def _ranges(node: np.ndarray, at: np.ndarray, chosen: np.ndarray, kind: int) -> pa.RecordBatch:
+    """Ranges ``node, first, last, kind`` of consecutive chosen windows."""
+    node, at = node[chosen], at[chosen]
     cut = np.ones(len(node), dtype=bool)
     cut[1:] = (node[1:] != node[:-1]) | (at[1:] != at[:-1] + 1)
     low = np.flatnonzero(cut)
     last = np.append(low[1:], len(node)) - 1
-    return pa.RecordBatch.from_arrays([pa.array(node[low]), pa.array(at[low]), pa.array(at[last])], ["node", "first", "last"])
+    return _ranges_batch(node[low], at[low], at[last], kind)
+
 
+def _ranges_batch(node: np.ndarray, first: np.ndarray, last: np.ndarray, kind: int) -> pa.RecordBatch:
+    columns = [pa.array(node, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(np.full(len(node), kind, np.int32))]
+    return pa.RecordBatch.from_arrays(columns, ["node", "first", "last", "kind"])
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and place, the windows that an earlier one under the same key equals."""
+
+def _compared(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key and place, the windows that an earlier one under the same key seems to equal, and those earlier ones."""
     held_key, held = None, {}
     for batch in batches:
         settled = batch.column("hashes").is_null().to_numpy(zero_copy_only=False)
         columns = {c: batch.column(c).to_numpy() for c in ("key", "node", "first", "count")}
         done = {c: v[settled] for c, v in columns.items()}
         if settled.any():
-            last = done["first"] + done["count"] - 1
-            yield pa.RecordBatch.from_arrays([pa.array(done["node"]), pa.array(done["first"]), pa.array(last.astype(np.int32))], ["node", "first", "last"])
+            yield _ranges_batch(done["node"], done["first"], done["first"] + done["count"] - 1, SETTLED)
         key, node, first, count = (v[~settled] for v in columns.values())
         if not len(key):
             continue
-        sent = np.frombuffer(b"".join(v.as_py() for v in batch.column("hashes") if v.is_valid), np.uint8).reshape(-1, SENT)
+        sent = np.frombuffer(b"".join(v.as_py() for v in batch.column("hashes") if v.is_valid), np.uint8).reshape(-1, size)
         prints = np.zeros((len(sent), 8), dtype=np.uint8)
-        prints[:, :SENT] = sent
+        prints[:, :size] = sent
         row = np.repeat(np.arange(len(key)), count)
         at = (first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
         prints = mixed(prints.view(np.uint64).ravel() * np.uint64(_ODD[50]) + key[row].view(np.uint64))
         _, sample, which = np.unique(prints, return_index=True, return_inverse=True)
         earlier = sample[which]
         repeat = (earlier != np.arange(len(row))) & ((node[row] != node[row[earlier]]) | (at != at[earlier]))
+        source = np.zeros(len(row), dtype=bool)
+        source[earlier[repeat]] = True
         # The batch may go on with the key that the last one ended with.
+        met = {}
         for i in np.flatnonzero(key[row] == held_key).tolist() if held_key is not None else ():
             known = held.get(int(prints[i]))
-            repeat[i] = repeat[i] or (known is not None and known != (int(node[row[i]]), int(at[i])))
+            if known is None:
+                continue
+            repeat[i] = known != (int(node[row[i]]), int(at[i]))
+            if repeat[i]:
+                source[i] = False
+                met[known] = None
         if held_key != key[-1]:
             held_key, held = key[-1], {}
         for i in np.flatnonzero((key[row] == held_key) & (earlier == np.arange(len(row)))).tolist():
             held.setdefault(int(prints[i]), (int(node[row[i]]), int(at[i])))
         if repeat.any():
-            yield _ranges(node[row], at, repeat)
+            yield _ranges(node[row], at, repeat, LIKELY)
+        if source.any():
+            yield _ranges(node[row], at, source, SOURCE)
+        if met:
+            place = np.array(list(met), dtype=np.int64)
+            yield _ranges_batch(place[:, 0], place[:, 1].astype(np.int32), place[:, 1].astype(np.int32), SOURCE)
+
+
+def repeats(texts: DataFrame, size: int = SENT) -> DataFrame:
+    """``node, first, last, kind``: ranges of windows of each document that seem to occur earlier, and of those they seem to equal."""
+    rows = _anchored(texts, size).repartition("key").sortWithinPartitions("key", "doc", "node", "first")
+    return rows.mapInArrow(lambda batches: _compared(batches, size), "node long, first int, last int, kind int")
+
+
+def _pieces(ranges: pa.Scalar) -> np.ndarray:
+    """Rows ``first, last, kind`` of a document's list, in order."""
+    if not ranges.is_valid:
+        return np.empty((0, 3), dtype=np.int64)
+    found = np.stack([ranges.values.field(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
+    return found[np.argsort(found[:, 0], kind="stable")]
 
 
-def repeats(texts: DataFrame) -> DataFrame:
-    """``node, first, last``: ranges of windows of each document that occur earlier. ``texts`` has ``doc, node, text``."""
-    rows = _anchored(texts).repartition("key").sortWithinPartitions("key", "doc", "node", "first")
-    return rows.mapInArrow(_compared, "node long, first int, last int")
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``a, b, doc, node, first, source``: 128-bit hashes of the windows to verify, in a task's stretch of rows once at their first place."""
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "doc", "node")] + [("first", pa.int32()), ("source", pa.bool_())])
+    held: dict[bytes, list] = {}
 
+    def made() -> pa.RecordBatch:
+        halves = np.frombuffer(b"".join(held), dtype=np.int64).reshape(-1, 2)
+        rest = zip(*held.values(), strict=True)
+        batch = pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), *(pa.array(c, t.type) for c, t in zip(rest, list(schema)[2:], strict=True))], schema=schema)
+        held.clear()
+        return batch
 
-def _kept(text: str | None, ranges: list) -> tuple[int, int, bytes]:
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("doc", "node")]
+        for text, ranges, doc, node in zip(batch.column("text"), batch.column("ranges"), *columns, strict=True):
+            wanted = _pieces(ranges)
+            wanted = wanted[wanted[:, 2] != SETTLED]
+            if not len(wanted):
+                continue
+            words = text.as_py().encode().split()
+            line = b" ".join(words)
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+            starts = np.append(0, ends[:-1] + 1).tolist()
+            ends = ends.tolist()
+            for first, last, kind in wanted.tolist():
+                for i in range(first, last + 1):
+                    digest = blake2b(line[starts[i] : ends[i + WINDOW - 1]], digest_size=16).digest()
+                    place = (doc, node, i)
+                    known = held.get(digest)
+                    if known is None:
+                        held[digest] = (*place, kind == SOURCE)
+                    elif place < known[:3] or kind == SOURCE:
+                        held[digest] = (*min(place, known[:3]), known[3] or kind == SOURCE)
+                if len(held) >= HELD:
+                    yield made()
+    if held:
+        yield made()
+
+
+def _unfounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by hash, sources and place, the first window of each hash that has no source."""
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = (batch.column(c).to_numpy() for c in "ab")
+        opens = np.ones(len(a), dtype=bool)
+        opens[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        opens[0] = before != (a[0], b[0])
+        before = a[-1], b[-1]
+        missed = pa.array(opens & ~batch.column("source").to_numpy(zero_copy_only=False))
+        yield batch.select(["node", "first"]).filter(missed)
+
+
+def _kept(text: str | None, ranges: np.ndarray, spared: list[int]) -> tuple[int, int, bytes]:
     words = (text or "").encode().split()
-    if not ranges:
+    ranges = ranges[ranges[:, 2] != SOURCE]
+    if not len(ranges):
         return len(words), 0, b" ".join(words)
     step = np.zeros(len(words) + 1, dtype=np.int32)
-    bounds = np.array(ranges)
-    np.add.at(step, bounds[:, 0], 1)
-    np.add.at(step, bounds[:, 1] + WINDOW, -1)
+    np.add.at(step, ranges[:, 0], 1)
+    np.add.at(step, ranges[:, 1] + 1, -1)
+    repeat = np.cumsum(step) > 0
+    repeat[spared] = False
+    starts = np.flatnonzero(repeat)
+    step = np.zeros(len(words) + 1, dtype=np.int32)
+    np.add.at(step, starts, 1)
+    np.add.at(step, starts + WINDOW, -1)
     stays = np.cumsum(step[:-1]) == 0
     kept = b" ".join([words[i] for i in np.flatnonzero(stays).tolist()])
     return len(words), int(len(words) - stays.sum()), kept
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, size: int = SENT) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_text``."""
     last = F.lit(2**63 - 1)
     texts = docs.select("doc_id", F.coalesce("doc_id", last).alias("doc"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("node"), "text")
-    found = repeats(texts.select("doc", "node", "text"))
-    lists = found.groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
-    joined = texts.select("doc_id", "node", "text").join(lists, "node", "left").select("doc_id", "text", "ranges")
+    found = repeats(texts.select("doc", "node", "text"), size)
+    lists = found.groupBy("node").agg(F.collect_list(F.struct("first", "last", "kind")).alias("ranges"))
+    # Named twice with all columns, so that both uses read one exchange of the texts.
+    joined = texts.join(lists, "node", "left").select("doc_id", "doc", "node", "text", "ranges")
+    hashed = joined.mapInArrow(_digests, "a long, b long, doc long, node long, first int, source boolean")
+    ordered = hashed.repartition("a", "b").sortWithinPartitions("a", "b", F.desc("source"), "doc", "node", "first")
+    spared = ordered.mapInArrow(_unfounded, "node long, first int").groupBy("node").agg(F.collect_list("first").alias("spared"))
+    whole = joined.join(spared, "node", "left").select("doc_id", "doc", "text", "ranges", "spared")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 rows = []
-                for text, ranges in zip(part.column("text"), part.column("ranges"), strict=True):
-                    bounds = [] if not ranges.is_valid else list(zip(*(ranges.values.field(i).to_pylist() for i in range(2)), strict=True))
-                    rows.append(_kept(text.as_py(), bounds))
+                for text, ranges, spared in zip(part.column("text"), part.column("ranges"), part.column("spared"), strict=True):
+                    rows.append(_kept(text.as_py(), _pieces(ranges), spared.as_py() or []))
                 n, removed, kept = zip(*rows, strict=True)
                 columns = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array([k.decode() for k in kept], pa.string())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "n_words", "n_removed", "kept_text"])
 
-    return joined.mapInArrow(task, "doc_id long, n_words long, n_removed long, kept_text string")
+    return whole.mapInArrow(task, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, size: int = SENT) -> DataFrame:
     """The same with ``kept_sha256`` in the place of the text."""
-    kept = deduplicated(docs)
+    kept = deduplicated(docs, size)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
