@@ -224,6 +224,26 @@ def test_recompression_verifies_what_short_hashes_propose(spark):
     assert got == corpus.in_order(corpus.removed_windows(rows))
 
 
+def test_recompression_spreads_hot_keys(spark):
+    draw = random.Random(6)
+    passage = [f"p{i}" for i in range(16)]
+    rows = [(i, " ".join([f"o{draw.randrange(99)}" for _ in range(30)] + passage + [f"o{draw.randrange(99)}" for _ in range(30)]), "en", "s") for i in range(300)]
+    rows += [(300 + i, "x " + rows[i][1], "en", "s") for i in range(0, 300, 7)]
+    texts = corpus.frame(spark, rows).repartition(8).selectExpr("doc_id as doc", "doc_id as node", "text").cache()
+    hot = recompression.hot_keys(texts, 300, 1)
+    assert len(hot) and (hot[1:] > hot[:-1]).all()
+
+    def largest(keys):
+        return max(r[0] for r in recompression._anchored(texts, 5, keys).where("hashes is not null").groupBy("key").agg({"count": "sum"}).select("sum(count)").collect())
+
+    assert largest(hot[:0]) > 300 >= largest(hot)
+
+    def marked(found):
+        return {(r["node"], i) for r in found.where(f"kind <> {recompression.SOURCE}").collect() for i in range(r["first"], r["last"] + 1)}
+
+    assert marked(recompression.repeats(texts, hot=300, every=1)) == marked(recompression.repeats(texts))
+
+
 needs_model = pytest.mark.skipif(not os.path.exists(pieces.MODEL), reason="no tokenizer files")
 
 

@@ -18,7 +18,11 @@ chunk are settled there by 64 bits, so what is frequent is sent about once for e
 Verification. The short hash only proposes. Sources and likely repeats are hashed again from their words, by 128 bits of BLAKE2, and meet by that hash.
 Windows without a source among their equals had met a different text: their first stays, the others are repeats of it.
 
-Memory: a task holds some megabytes of text, or one document; a key's distinct windows of the group at hand. A null or short text has no
+Hot keys. A passage that very many documents hold brings all the different windows around it under one key. Keys of more than ``HOT`` windows, as
+counted over one document in ``EVERY``, are not used: their windows are sent one by one, each under a key of its own hash, so that equal windows still
+meet and a hot key spreads over all tasks. The count only chooses between the two ways; both give the same repeats.
+
+Memory: a task holds some megabytes of text, or one document; the distinct windows of one key that is not hot; the list of hot keys. A null or short text has no
 window and loses nothing. A null ``doc_id`` comes last in the order; rows of one id and different texts follow each other by a hash;
 rows repeated with id and text are one document and all reported alike. An empty table gives an empty result.
 """
@@ -46,6 +50,10 @@ SETTLED, LIKELY, SOURCE = range(3)
 HELD = 1 << 17
 _ODD = [int(x) | 1 for x in mixed(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))]
 
+#: Windows of a key from which on each is sent under its own hash, and the share of the documents that are looked at to find such keys.
+HOT = 20_000
+EVERY = 64
+
 
 class Symbols(NamedTuple):
     """Symbols of consecutive documents with the words ``[low, high)`` of their spans; a span beyond its document is none."""
@@ -151,8 +159,8 @@ def anchors(hashes: np.ndarray, first: np.ndarray, starts: np.ndarray) -> tuple[
     return keys, number
 
 
-def _chunk_rows(words: Words, order: np.ndarray, node: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``key, doc, node, first, count, hashes``; rows with null hashes are settled repeats."""
+def _chunk_rows(words: Words, order: np.ndarray, node: np.ndarray, size: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows ``key, doc, node, first, count, hashes``; rows with null hashes are settled repeats. ``hot`` keys, sorted, are replaced by windows' own."""
     hashes, first = words.hashes(), words.first
     count = np.maximum(np.diff(first) - WINDOW + 1, 0)
     if not count.sum():
@@ -166,6 +174,9 @@ def _chunk_rows(words: Words, order: np.ndarray, node: np.ndarray, size: int) ->
     earlier = sample[which]
     repeat = (earlier != np.arange(len(starts))) & ((node[document] != node[document[earlier]]) | (offset != offset[earlier]))
     keys, number = anchors(hashes, first, starts)
+    spread = np.flatnonzero(np.isin(keys, hot))
+    keys[spread] = mixed(prints[spread] + np.uint64(_ODD[51]) * keys[spread])
+    number[spread] = -2 - spread
     number[repeat] = -1
     cut = np.ones(len(starts), dtype=bool)
     cut[1:] = (document[1:] != document[:-1]) | (number[1:] != number[:-1])
@@ -179,13 +190,13 @@ def _chunk_rows(words: Words, order: np.ndarray, node: np.ndarray, size: int) ->
     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(blobs, pa.binary())], ["key", "doc", "node", "first", "count", "hashes"])
 
 
-def _anchored(texts: DataFrame, size: int) -> DataFrame:
+def _anchored(texts: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.sort_by([("doc", "ascending"), ("node", "ascending")])
             order, node = batch.column("doc").to_numpy(), batch.column("node").to_numpy()
             for words in in_chunks(batch.column("text")):
-                yield from _chunk_rows(words, order[words.rows], node[words.rows], size)
+                yield from _chunk_rows(words, order[words.rows], node[words.rows], size, hot)
 
     return texts.mapInArrow(task, "key long, doc long, node long, first int, count int, hashes binary")
 
@@ -251,9 +262,17 @@ def _compared(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             yield _ranges_batch(place[:, 0], place[:, 1].astype(np.int32), place[:, 1].astype(np.int32), SOURCE)
 
 
-def repeats(texts: DataFrame, size: int = SENT) -> DataFrame:
+def hot_keys(texts: DataFrame, hot: int = HOT, every: int = EVERY) -> np.ndarray:
+    """Keys of more than about ``hot`` windows, sorted."""
+    some = texts.where(F.pmod("node", F.lit(every)) == 0)
+    rows = _anchored(some, SENT, np.empty(0, dtype=np.uint64)).where("hashes is not null")
+    found = rows.groupBy("key").agg(F.sum("count").alias("n")).where(F.col("n") * every > hot).select("key").collect()
+    return np.sort(np.array([row[0] for row in found], dtype=np.int64).view(np.uint64))
+
+
+def repeats(texts: DataFrame, size: int = SENT, hot: int = HOT, every: int = EVERY) -> DataFrame:
     """``node, first, last, kind``: ranges of windows of each document that seem to occur earlier, and of those they seem to equal."""
-    rows = _anchored(texts, size).repartition("key").sortWithinPartitions("key", "doc", "node", "first")
+    rows = _anchored(texts, size, hot_keys(texts, hot, every)).repartition("key").sortWithinPartitions("key", "doc", "node", "first")
     return rows.mapInArrow(lambda batches: _compared(batches, size), "node long, first int, last int, kind int")
 
 
