@@ -15,8 +15,9 @@ windows meet under one key, different texts under one key only where they share
 their hash, in order of document and place, one key at a time; the first is a source, the later are likely repeats. Windows repeated within a task's
 chunk are settled there by 64 bits, so what is frequent is sent about once for each chunk. Both come back to their documents as ranges.
 
-Verification. The short hash only proposes. Sources and likely repeats are hashed again from their words, by 128 bits of BLAKE2, and meet by that hash.
-Windows without a source among their equals had met a different text: their first stays, the others are repeats of it.
+Verification. The short hash only proposes. Stretches of likely repeats with one source document and distance are hashed again from their words, by 128 bits of
+BLAKE2, and compared with the same stretch of the source. Where they differ, their windows are hashed one by one: those without a source among their
+equals had met a different text, so their first stays and the others are repeats of it.
 
 Hot keys. A passage that very many documents hold brings all the different windows around it under one key. Keys of more than ``HOT`` windows, as
 counted over one document in ``EVERY``, are not used: their windows are sent one by one, each under a key of its own hash, so that equal windows still
@@ -44,7 +45,7 @@ WINDOW = 20
 ROUNDS = 2
 #: Bytes of a window's hash that travel; windows of one key that agree in them are verified.
 SENT = 5
-#: What a range of windows is: settled within its chunk, likely repeated, or the first of likely equal ones.
+#: What a range of windows is: settled within its chunk, likely repeated, or what such ones were taken for.
 SETTLED, LIKELY, SOURCE = range(3)
 #: Different windows whose digests a task holds before it sends them.
 HELD = 1 << 17
@@ -201,23 +202,25 @@ def _anchored(texts: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
     return texts.mapInArrow(task, "key long, doc long, node long, first int, count int, hashes binary")
 
 
-def _ranges(node: np.ndarray, at: np.ndarray, chosen: np.ndarray, kind: int) -> pa.RecordBatch:
-    """Ranges ``node, first, last, kind`` of consecutive chosen windows."""
-    node, at = node[chosen], at[chosen]
+def _ranges(node: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> pa.RecordBatch:
+    """Ranges of consecutive windows with consecutive sources."""
     cut = np.ones(len(node), dtype=bool)
-    cut[1:] = (node[1:] != node[:-1]) | (at[1:] != at[:-1] + 1)
+    cut[1:] = (node[1:] != node[:-1]) | (at[1:] != at[:-1] + 1) | (source[1:] != source[:-1]) | (source_at[1:] != source_at[:-1] + 1)
     low = np.flatnonzero(cut)
     last = np.append(low[1:], len(node)) - 1
-    return _ranges_batch(node[low], at[low], at[last], kind)
+    return _ranges_batch(node[low], at[low], at[last], LIKELY, source[low], source_at[low])
 
 
-def _ranges_batch(node: np.ndarray, first: np.ndarray, last: np.ndarray, kind: int) -> pa.RecordBatch:
-    columns = [pa.array(node, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(np.full(len(node), kind, np.int32))]
-    return pa.RecordBatch.from_arrays(columns, ["node", "first", "last", "kind"])
+def _ranges_batch(node, first, last, kind: int, source=None, source_at=None) -> pa.RecordBatch:
+    none = np.zeros(len(node), np.int64)
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    columns = [node, first, last, none + kind, none if source is None else source, none if source_at is None else source_at]
+    arrays = [pa.array(np.asarray(c).astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["node", "first", "last", "kind", "source", "source_at"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and place, the windows that an earlier one under the same key seems to equal, and those earlier ones."""
+    """Of rows sorted by key and place, the windows that an earlier one under the same key seems to equal."""
     held_key, held = None, {}
     for batch in batches:
         settled = batch.column("hashes").is_null().to_numpy(zero_copy_only=False)
@@ -237,29 +240,19 @@ def _compared(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         _, sample, which = np.unique(prints, return_index=True, return_inverse=True)
         earlier = sample[which]
         repeat = (earlier != np.arange(len(row))) & ((node[row] != node[row[earlier]]) | (at != at[earlier]))
-        source = np.zeros(len(row), dtype=bool)
-        source[earlier[repeat]] = True
+        source, source_at = node[row[earlier]], at[earlier]
         # The batch may go on with the key that the last one ended with.
-        met = {}
         for i in np.flatnonzero(key[row] == held_key).tolist() if held_key is not None else ():
             known = held.get(int(prints[i]))
-            if known is None:
-                continue
-            repeat[i] = known != (int(node[row[i]]), int(at[i]))
-            if repeat[i]:
-                source[i] = False
-                met[known] = None
+            if known is not None:
+                source[i], source_at[i] = known
+                repeat[i] = known != (int(node[row[i]]), int(at[i]))
         if held_key != key[-1]:
             held_key, held = key[-1], {}
         for i in np.flatnonzero((key[row] == held_key) & (earlier == np.arange(len(row)))).tolist():
             held.setdefault(int(prints[i]), (int(node[row[i]]), int(at[i])))
         if repeat.any():
-            yield _ranges(node[row], at, repeat, LIKELY)
-        if source.any():
-            yield _ranges(node[row], at, source, SOURCE)
-        if met:
-            place = np.array(list(met), dtype=np.int64)
-            yield _ranges_batch(place[:, 0], place[:, 1].astype(np.int32), place[:, 1].astype(np.int32), SOURCE)
+            yield _ranges(node[row][repeat], at[repeat], source[repeat], source_at[repeat])
 
 
 def hot_keys(texts: DataFrame, hot: int = HOT, every: int = EVERY) -> np.ndarray:
@@ -271,17 +264,72 @@ def hot_keys(texts: DataFrame, hot: int = HOT, every: int = EVERY) -> np.ndarray
 
 
 def repeats(texts: DataFrame, size: int = SENT, hot: int = HOT, every: int = EVERY) -> DataFrame:
-    """``node, first, last, kind``: ranges of windows of each document that seem to occur earlier, and of those they seem to equal."""
+    """``node, first, last, kind, source, source_at``: ranges of windows of each document that occur earlier, if likely only there in the document ``source``."""
     rows = _anchored(texts, size, hot_keys(texts, hot, every)).repartition("key").sortWithinPartitions("key", "doc", "node", "first")
-    return rows.mapInArrow(lambda batches: _compared(batches, size), "node long, first int, last int, kind int")
+    return rows.mapInArrow(lambda batches: _compared(batches, size), "node long, first int, last int, kind int, source long, source_at int")
 
 
 def _pieces(ranges: pa.Scalar) -> np.ndarray:
-    """Rows ``first, last, kind`` of a document's list, in order."""
-    if not ranges.is_valid:
+    """Different rows ``first, last, kind, ...`` of a document's list, in order."""
+    if not ranges.is_valid or not len(ranges.values):
         return np.empty((0, 3), dtype=np.int64)
-    found = np.stack([ranges.values.field(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
-    return found[np.argsort(found[:, 0], kind="stable")]
+    fields = range(ranges.values.type.num_fields)
+    return np.unique(np.stack([ranges.values.field(i).to_numpy().astype(np.int64) for i in fields], axis=1), axis=0)
+
+
+class Line:
+    """A text's words with single spaces, and digests of its stretches."""
+
+    def __init__(self, text: str):
+        words = text.encode().split()
+        self.line = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        self.starts, self.ends = np.append(0, ends[:-1] + 1).tolist(), ends.tolist()
+
+    def digest(self, first: int, last: int) -> bytes:
+        """Of the words under the windows from ``first`` to ``last``."""
+        if last + WINDOW > len(self.ends):
+            return b""
+        return blake2b(self.line[self.starts[first] : self.ends[last + WINDOW - 1]], digest_size=16).digest()
+
+
+def _claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``source, source_at, count, digest, claimant, first``: stretches of likely repeats and what their source must hold."""
+    for batch in batches:
+        rows = []
+        for text, ranges, node in zip(batch.column("text"), batch.column("ranges"), batch.column("node").to_pylist(), strict=True):
+            likely = _pieces(ranges)
+            likely = likely[likely[:, 2] == LIKELY]
+            if not len(likely):
+                continue
+            first, last, source, at = (likely[:, i] for i in (0, 1, 3, 4))
+            cut = np.ones(len(first), dtype=bool)
+            cut[1:] = (first[1:] != last[:-1] + 1) | (source[1:] != source[:-1]) | (at[1:] - first[1:] != at[:-1] - first[:-1])
+            low = np.flatnonzero(cut)
+            last = last[np.append(low[1:], len(cut)) - 1].tolist()
+            line = Line(text.as_py())
+            for a, z, s, p in zip(first[low].tolist(), last, source[low].tolist(), at[low].tolist(), strict=True):
+                rows.append((s, p, z - a + 1, line.digest(a, z), node, a))
+        if rows:
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32())
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["source", "source_at", "count", "digest", "claimant", "first"])
+
+
+def _refuted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, first, last, kind``: both sides of the claims that do not hold."""
+    for batch in batches:
+        rows = []
+        for text, claims, node in zip(batch.column("text"), batch.column("claims"), batch.column("node").to_pylist(), strict=True):
+            line, known = Line(text.as_py()), {}
+            for at, count, digest, claimant, first in zip(*(claims.values.field(i).to_pylist() for i in range(5)), strict=True):
+                if (at, count) not in known:
+                    known[at, count] = line.digest(at, at + count - 1)
+                if known[at, count] != digest:
+                    rows += [(claimant, first, first + count - 1, LIKELY), (node, at, at + count - 1, SOURCE)]
+        if rows:
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["node", "first", "last", "kind"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,17 +348,12 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(c).to_pylist() for c in ("doc", "node")]
         for text, ranges, doc, node in zip(batch.column("text"), batch.column("ranges"), *columns, strict=True):
             wanted = _pieces(ranges)
-            wanted = wanted[wanted[:, 2] != SETTLED]
             if not len(wanted):
                 continue
-            words = text.as_py().encode().split()
-            line = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-            starts = np.append(0, ends[:-1] + 1).tolist()
-            ends = ends.tolist()
+            line = Line(text.as_py())
             for first, last, kind in wanted.tolist():
                 for i in range(first, last + 1):
-                    digest = blake2b(line[starts[i] : ends[i + WINDOW - 1]], digest_size=16).digest()
+                    digest = line.digest(i, i)
                     place = (doc, node, i)
                     known = held.get(digest)
                     if known is None:
@@ -340,7 +383,6 @@ def _unfounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _kept(text: str | None, ranges: np.ndarray, spared: list[int]) -> tuple[int, int, bytes]:
     words = (text or "").encode().split()
-    ranges = ranges[ranges[:, 2] != SOURCE]
     if not len(ranges):
         return len(words), 0, b" ".join(words)
     step = np.zeros(len(words) + 1, dtype=np.int32)
@@ -362,10 +404,15 @@ def deduplicated(docs: DataFrame, size: int = SENT) -> DataFrame:
     last = F.lit(2**63 - 1)
     texts = docs.select("doc_id", F.coalesce("doc_id", last).alias("doc"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("node"), "text")
     found = repeats(texts.select("doc", "node", "text"), size)
-    lists = found.groupBy("node").agg(F.collect_list(F.struct("first", "last", "kind")).alias("ranges"))
-    # Named twice with all columns, so that both uses read one exchange of the texts.
+    lists = found.groupBy("node").agg(F.collect_list(F.struct("first", "last", "kind", "source", "source_at")).alias("ranges"))
+    # The texts always come with all columns, so that all joins read one exchange.
     joined = texts.join(lists, "node", "left").select("doc_id", "doc", "node", "text", "ranges")
-    hashed = joined.mapInArrow(_digests, "a long, b long, doc long, node long, first int, source boolean")
+    claims = joined.mapInArrow(_claims, "source long, source_at int, count int, digest binary, claimant long, first int")
+    claims = claims.groupBy(F.col("source").alias("node")).agg(F.collect_list(F.struct("source_at", "count", "digest", "claimant", "first")).alias("claims"))
+    held = texts.join(claims, "node").select("doc_id", "doc", "node", "text", "claims")
+    refuted = held.mapInArrow(_refuted, "node long, first int, last int, kind int").groupBy("node").agg(F.collect_list(F.struct("first", "last", "kind")).alias("ranges"))
+    again = texts.join(refuted, "node").select("doc_id", "doc", "node", "text", "ranges")
+    hashed = again.mapInArrow(_digests, "a long, b long, doc long, node long, first int, source boolean")
     ordered = hashed.repartition("a", "b").sortWithinPartitions("a", "b", F.desc("source"), "doc", "node", "first")
     spared = ordered.mapInArrow(_unfounded, "node long, first int").groupBy("node").agg(F.collect_list("first").alias("spared"))
     whole = joined.join(spared, "node", "left").select("doc_id", "doc", "text", "ranges", "spared")
