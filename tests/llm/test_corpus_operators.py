@@ -123,6 +123,19 @@ def test_licence_tag_in_text():
     assert license.scanned(text, license.automaton())[1:] == (1, 11, 11, "gpl", "gpl,mit", 0.4)
 
 
+@pytest.mark.parametrize(
+    ("text", "labels", "score"),
+    [
+        ("/* SPDX-License-Identifier: MIT */", "mit", 0.95), ("<!-- SPDX-License-Identifier: GPL-2.0 -->", "gpl", 0.4), ("<!--SPDX-License-Identifier: MIT-->", "mit", 0.95),
+        ("x. SPDX-License-Identifier: MIT. Copyright of many", "mit", 0.95), ("(SPDX-License-Identifier: MIT OR GPL-2.0+.)", "gpl,mit", 0.95),
+        ("SPDX-License-Identifier: (MIT OR ISC) AND GPL-2.0 WITH Own-exception; more", "gpl,isc,mit", 0.6), ("SPDX-License-Identifier: MIT AND */", "mit", 0.95),
+        ("SPDX-License-Identifier: MIT SPDX-License-Identifier: MPL-2.0", "mit,mpl", 0.7), ("SPDX-License-Identifier:\nMIT", "", 0.5), ("SPDX-License-Identifier: (MIT */", "", 0.5),
+    ],
+)
+def test_licence_tags_end_where_the_grammar_ends(text, labels, score):
+    assert license.scanned(text, license.automaton())[5:] == (labels, pytest.approx(score))
+
+
 def test_warc_records(spark):
     html = "<html><title>A &amp; B</title><script>x<y</script><p>One</p><!-- no --><p>Two&nbsp;<b>2</b><a href='/l'>go</a></html>"
     pages = spark.createDataFrame([(1, "http://a/ x", html), (1, "http://a/ x", html), (2, None, None), (None, "u", "")], "page_id long, url string, html string")

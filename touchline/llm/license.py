@@ -4,9 +4,9 @@ Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-
 runs over the words joined by single spaces and reports phrases whose words stand consecutively, wherever they are. Base phrases give
 the base labels and places; the notices below and ``SPDX-License-Identifier:`` tags add labels of the method.
 
-A tag's expression is read to the end of its line: identifiers, ``AND``, ``OR``, ``WITH`` and parentheses, ``WITH`` binding
-strongest and ``OR`` weakest. It is evaluated by how freely a text may be used (``FREEDOM``): ``AND`` takes the smaller, ``OR`` the
-larger value, ``WITH`` an exception adds ``EXCEPTION``. A malformed expression counts as ``UNKNOWN`` and adds no label. A document's score is
+A tag's expression is the longest valid one that begins behind the tag, on its line: identifiers, ``AND``, ``OR``, ``WITH`` and parentheses, ``WITH``
+binding strongest and ``OR`` weakest. What cannot continue it ends it, as a comment closer, a full stop behind a name or running text do. It is evaluated by how freely a text may be used (``FREEDOM``): ``AND`` takes the smaller, ``OR`` the
+larger value, ``WITH`` an exception adds ``EXCEPTION``. A tag without a valid expression counts as ``UNKNOWN`` and adds no label. A document's score is
 the smallest value of its labels and expressions, and 0 where nothing was found. A null text counts as empty: no words, no places,
 null first and last word, empty labels, score 0. Each row is judged for itself, repeated rows included.
 """
@@ -42,7 +42,8 @@ EXCEPTION = 0.2
 _WORD_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 _TABLE = bytes(_WORD_BYTES[c] for c in range(256)).lower()
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9.+:-]+|\S")
-_TAG_LINE = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+_TAG = re.compile(r"spdx-license-identifier:", re.IGNORECASE)
+_TAG_TOKEN = re.compile(rf"[\r\n]|{_TOKEN.pattern}")
 _PRECEDENCE = {"OR": 1, "AND": 2, "WITH": 3}
 
 
@@ -83,6 +84,35 @@ def postfix(expression: str) -> list[str] | None:
     return output + held[::-1]
 
 
+def expression_after(text: str, start: int) -> tuple[str, int]:
+    """The longest valid expression from ``start`` on, within the line, and where it ends; empty if there is none."""
+    tokens: list[str] = []
+    valid, stop, depth, operand_next = 0, start, 0, True
+    for match in _TAG_TOKEN.finditer(text, start):
+        token = match[0]
+        name = token.rstrip(".:-")
+        word = name.upper()
+        if token in ("(", ")"):
+            if (token == "(") != operand_next or (token == ")" and not depth):
+                break
+            depth += 1 if token == "(" else -1
+        elif word in _PRECEDENCE:
+            if operand_next or name != token:
+                break
+            operand_next = True
+        elif operand_next and re.match(r"[A-Za-z0-9]", name):
+            operand_next = False
+        else:
+            break
+        tokens.append(name)
+        if not operand_next and not depth:
+            valid, stop = len(tokens), match.end()
+        # A full stop or comment closer behind a name.
+        if name != token:
+            break
+    return " ".join(tokens[:valid]), stop
+
+
 def evaluated(expression: str) -> tuple[float, set[str]]:
     """Freedom of an expression and the labels of its licences."""
     order = postfix(expression)
@@ -127,8 +157,8 @@ def scanned(text: str | None, phrases: ahocorasick.Automaton) -> tuple:
         if phrase in NOTICES:
             labels.add(NOTICES[phrase])
     values = []
-    for expression in _TAG_LINE.findall(text) if tagged else ():
-        value, named = evaluated(expression)
+    for tag in _TAG.finditer(text) if tagged else ():
+        value, named = evaluated(expression_after(text, tag.end())[0])
         values.append(value)
         labels |= named
     labels |= base
