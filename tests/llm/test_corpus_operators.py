@@ -136,6 +136,17 @@ def test_licence_tags_end_where_the_grammar_ends(text, labels, score):
     assert license.scanned(text, license.automaton())[5:] == (labels, pytest.approx(score))
 
 
+@pytest.mark.parametrize(
+    ("text", "score"),
+    [
+        ("SPDX-License-Identifier: MIT\nunder CC BY-NC", 0.2), ("SPDX-License-Identifier: (\nAffero General Public License", 0.3),
+        ("SPDX-License-Identifier: CC-BY-4.0 OR CC-BY-NC-4.0", 0.9), ("SPDX-License-Identifier: CC0-1.0 AND MIT\nMIT License", 0.95), ("SPDX-License-Identifier: MIT\nIt is not public\n", 0.95),
+    ],
+)
+def test_licence_score_counts_notices_beside_tags(text, score):
+    assert license.scanned(text, license.automaton())[6] == score
+
+
 def test_warc_records(spark):
     html = "<html><title>A &amp; B</title><script>x<y</script><p>One</p><!-- no --><p>Two&nbsp;<b>2</b><a href='/l'>go</a></html>"
     pages = spark.createDataFrame([(1, "http://a/ x", html), (1, "http://a/ x", html), (2, None, None), (None, "u", "")], "page_id long, url string, html string")

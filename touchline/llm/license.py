@@ -7,7 +7,7 @@ the base labels and places; the notices below and ``SPDX-License-Identifier:`` t
 A tag's expression is the longest valid one that begins behind the tag, on its line: identifiers, ``AND``, ``OR``, ``WITH`` and parentheses, ``WITH``
 binding strongest and ``OR`` weakest. What cannot continue it ends it, as a comment closer, a full stop behind a name or running text do. It is evaluated by how freely a text may be used (``FREEDOM``): ``AND`` takes the smaller, ``OR`` the
 larger value, ``WITH`` an exception adds ``EXCEPTION``. A tag without a valid expression counts as ``UNKNOWN`` and adds no label. A document's score is
-the smallest value of its labels and expressions, and 0 where nothing was found. A null text counts as empty: no words, no places,
+the smallest value of its base labels, notices and expressions (names inside an expression are no notices), and 0 where nothing was found. A null text counts as empty: no words, no places,
 null first and last word, empty labels, score 0. Each row is judged for itself, repeated rows included.
 """
 
@@ -156,13 +156,24 @@ def scanned(text: str | None, phrases: ahocorasick.Automaton) -> tuple:
         tagged = tagged or phrase == TAG
         if phrase in NOTICES:
             labels.add(NOTICES[phrase])
+    noticed = set(labels)
     values = []
+    outside: list[str] = []
+    begin = 0
     for tag in _TAG.finditer(text) if tagged else ():
-        value, named = evaluated(expression_after(text, tag.end())[0])
+        expression, stop = expression_after(text, tag.end())
+        value, named = evaluated(expression)
+        outside.append(text[begin : tag.end()])
+        begin = max(begin, stop)
         values.append(value)
         labels |= named
+    if outside:
+        # The tag's name stands where an expression was, so no phrase reaches across it.
+        rest = (f" {TAG} ".join([*outside, text[begin:]])).encode().translate(_TABLE).split()
+        found = phrases.iter(" " + b" ".join(rest).decode("latin-1") + " ")
+        noticed = {NOTICES[phrase] for _, phrase in found if phrase in NOTICES}
     labels |= base
-    values += [FREEDOM[label] for label in labels] if not values else [FREEDOM[label] for label in base]
+    values += [FREEDOM[label] for label in (base | noticed)]
     return (
         len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
         ",".join(sorted(labels)), float(min(values, default=0.0)),
