@@ -166,7 +166,7 @@ class Pieces:
             sizes = np.zeros(len(words.starts) + 1, dtype=np.int64)
             ids = np.empty(0, dtype=np.int32)
             if len(words.starts):
-                _, sample, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+                sample, which = words.distinct()
                 data = words.data.tobytes()
                 found = []
                 for start, end in zip(words.starts[sample].tolist(), words.ends[sample].tolist(), strict=True):

@@ -1,7 +1,8 @@
 """Words of Arrow text columns as arrays: places and 64-bit hashes, a few megabytes of text at a time.
 
-A word's hash is a polynomial of its bytes modulo 2**64 with a random odd base and random byte values, passed through a
-finaliser; every task computes the same one. Texts are read as UTF-8 bytes, null as empty.
+A word's hash is the sum, passed through a finaliser, of one mixed value for each of its bytes and the byte's place in the word, so no
+arrangement of bytes makes sums meet as in polynomials modulo 2**64; every task computes the same one. ``distinct`` compares bytes, too. Texts
+are read as UTF-8 bytes, null as empty.
 """
 
 from __future__ import annotations
@@ -31,22 +32,18 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE = 0x5851F42D4C957F2D
-_powers: list[np.ndarray] = []
+#: Values of a byte at its place in a word; places beyond the table are worked out.
+_TABLED = 32
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _power_tables(size: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse, up to ``size``."""
-    if not _powers or len(_powers[0]) < size:
-        size = max(size, CHUNK + 1)
-        tables = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            tables.append(np.cumprod(steps, dtype=np.uint64))
-        _powers[:] = tables
-    return _powers
+def _values(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return mixed(((place.astype(np.uint64) << np.uint64(8)) + byte + np.uint64(1)) * _STEP)
+
+
+_VALUES = _values(np.arange(_TABLED)[:, None], np.arange(256, dtype=np.uint64)[None, :]).ravel()
+#: Bytes that are hashed at once.
+_PART = 1 << 17
 
 
 class Words(NamedTuple):
@@ -60,21 +57,65 @@ class Words(NamedTuple):
     offsets: np.ndarray
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        values = _BYTE[_LOWER] if lower else _BYTE
         found = np.empty(len(self.starts), dtype=np.uint64)
         low = 0
         while low < len(self.starts):
             origin = self.starts[low]
-            high = max(low + 1, int(np.searchsorted(self.ends, origin + CHUNK, "right")))
+            high = max(low + 1, int(np.searchsorted(self.ends, origin + _PART, "right")))
             stop = self.ends[high - 1]
-            power, inverse = _power_tables(int(stop - origin))
-            sums = np.zeros(int(stop - origin) + 1, dtype=np.uint64)
-            np.cumsum(values[self.data[origin:stop]] * power[: stop - origin], out=sums[1:])
+            data = _LOWER[self.data[origin:stop]] if lower else self.data[origin:stop]
             starts, ends = self.starts[low:high] - origin, self.ends[low:high] - origin
-            found[low:high] = mixed((sums[ends] - sums[starts]) * inverse[starts])
+            # Bytes between words get places too, but are in no sum.
+            place = np.arange(len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+            far = np.flatnonzero(place >= _TABLED)
+            values = _VALUES[np.minimum(place, _TABLED - 1) << 8 | data]
+            values[far] = _values(place[far], data[far])
+            sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum(values, out=sums[1:])
+            found[low:high] = mixed(sums[ends] - sums[starts])
             low = high
         return found
 
+    def equal(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Whether pairs of words, given by their numbers, hold the same bytes."""
+        length = self.ends[one] - self.starts[one]
+        same = length == self.ends[other] - self.starts[other]
+        rows = np.flatnonzero(same)
+        first = np.cumsum(length[rows]) - length[rows]
+        inside = np.arange(int(length[rows].sum())) - np.repeat(first, length[rows])
+        left, right = (self.data[inside + np.repeat(self.starts[side[rows]], length[rows])] for side in (one, other))
+        if len(rows):
+            same[rows] = np.logical_and.reduceat(left == right, first)
+        return same
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The number of a sample of each distinct word, and for each word which of them it equals, byte for byte."""
+        _, sample, which = np.unique(self.hashes(), return_index=True, return_inverse=True)
+        odd = np.flatnonzero(~self.equal(np.arange(len(which)), sample[which]))
+        # Words that only share their hash with the sample are told apart by their bytes.
+        others: dict[bytes, int] = {}
+        for i in odd.tolist():
+            which[i] = others.setdefault(self.data[self.starts[i] : self.ends[i]].tobytes(), len(sample) + len(others))
+        if others:
+            made = np.array([odd[np.flatnonzero(which[odd] == n)[0]] for n in others.values()])
+            sample = np.concatenate([sample, made])
+        return sample, which
+
+    def joined(self, keep: np.ndarray) -> pa.LargeStringArray:
+        """The marked words of each document, joined by single spaces."""
+        kept = np.flatnonzero(keep)
+        length = self.ends[kept] - self.starts[kept]
+        first = np.searchsorted(kept, self.first)
+        # A space follows each word but the last of its document.
+        room = length + 1
+        room[first[1:][np.diff(first) > 0] - 1] -= 1
+        begin = np.append(0, np.cumsum(room))
+        text = np.full(begin[-1], 0x20, dtype=np.uint8)
+        inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        text[inside + np.repeat(begin[:-1], length)] = self.data[inside + np.repeat(self.starts[kept], length)]
+        buffers = [None, pa.py_buffer(begin[first].astype(np.int64).tobytes()), pa.py_buffer(text.tobytes())]
+        return pa.Array.from_buffers(pa.large_string(), len(first) - 1, buffers)
+
 
 def in_chunks(text: pa.Array, cut=None) -> Iterator[Words]:
     """The words of an Arrow text column, some megabytes of documents at a time; ``cut`` may place words otherwise."""
