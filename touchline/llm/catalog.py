@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import exact_dedup, jaccard, license, mixing, ordinal, pieces, quality, recompression, sharding, warc
+from touchline.llm import (
+    exact_dedup, hard_negatives, jaccard, license, metric_join, mixing, ordinal, periodic, pieces, quality, recompression, sharding, warc,
+)
 from touchline.llm.rows import table
 from touchline.llm.sql import ORACLES
 
@@ -59,6 +61,18 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.digests(table(spark, folder, "documents"))
+
+
+def op12_metric_join(spark: SparkSession, folder: str) -> DataFrame:
+    return metric_join.near_vectors(table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mined(hard_negatives.relabelled(table(spark, folder, "embeddings")))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.llm import mixing, quality
+from touchline.llm import hard_negatives, metric_join, mixing, quality
 
 _SPACES = "[ \\t-\\r]+"
 _WORDS = "[^ \\t-\\r]+"
@@ -68,4 +68,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   FROM m LEFT JOIN t ON m.stratum IS NOT DISTINCT FROM t.stratum)"""
 
 
-ORACLES = {"op4_quality_rules": _quality(), "op5_exact_dedup": EXACT, "op9_mixing": MIX}
+#: Pairs of one label by their cosine, and what can be reached over them.
+NEAR_VECTORS = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT DISTINCT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_cosine_similarity(a.e, b.e) >= {metric_join.COSINE}),
+r AS (SELECT DISTINCT vec_id AS a, vec_id AS b FROM ok UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN c ON v.vec_id = c.a"""
+
+_H = hard_negatives
+HARD_NEGATIVES = f"""
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL
+  AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND len(a.e) = len(b.e)),
+p AS (SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {_H.POSITIVES})
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE s.label <> p.own AND {_H.LOW} * positive_score <= 100 * score AND 100 * score <= {_H.HIGH} * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= {_H.NEGATIVES}"""
+
+ORACLES = {
+    "op4_quality_rules": _quality(), "op5_exact_dedup": EXACT, "op9_mixing": MIX, "op12_metric_join": NEAR_VECTORS,
+    "op13_hard_negatives": HARD_NEGATIVES,
+}
