@@ -4,7 +4,7 @@ import time
 import pytest
 from football import frame
 
-from touchline.plans import bronze, gold, silver
+from touchline.plans import bronze, gold, raw, silver
 from touchline.sources import messages
 from touchline.streaming import levels, possessions
 
@@ -49,28 +49,11 @@ def _run(spark, tmp_path, cuts, begin):
     return len(bounds) - 2
 
 
-def _gold(spark, path):
-    table = spark.read.parquet(path)
-    columns = [c for c in table.columns if c not in ("stream_batch_id", "batch")]
-    return sorted(map(str, table.select(*columns).collect()))
+IDLE = 1_000
 
 
-def test_possessions_do_not_depend_on_the_batches(spark, tmp_path):
-    results = {}
-    # The second run cuts inside frames: the ball of a frame may come a batch after its players.
-    for name, cuts in (("one", []), ("three", [24 * 3 + 10, 24 * 8 + 5])):
-        folder = tmp_path / name
-        folder.mkdir()
-        stream = possessions.PossessionStream(
-            _info(spark), str(folder / "state"), levels.to_tables(str(folder / "out")), "t", rounded=False
-        )
-        last = _run(spark, folder, cuts, lambda s, cp: possessions.start(s, stream, cp, interval=None))
-        stream.finish(spark, last)
-        results[name] = _gold(spark, str(folder / "out/gold"))
-    assert results["one"] == results["three"] and len(results["one"]) == 6
-
-    from touchline.plans import raw
-
+def _batch_gold(spark):
+    """The batch's sequences over the same messages."""
     lines = [(json.dumps(e),) for f in _entities() for e in f]
     topic = spark.createDataFrame(lines, "value string").selectExpr(
         "value", "timestamp'2023-01-01' as timestamp", "'t' as topic"
@@ -78,29 +61,91 @@ def test_possessions_do_not_depend_on_the_batches(spark, tmp_path):
     rows = raw.message_positions(topic).withColumnRenamed("ball_possession_code", "ball_possession")
     rows = rows.selectExpr("*", "cast(null as double) as z")
     known = silver.silver_positions(bronze.bronze_positions(rows, _info(spark)))
-    batch = gold.gold_possessions(known, rounded=False)
-    assert sorted(map(str, batch.collect())) == results["one"]
+    return sorted(map(str, gold.gold_possessions(known, rounded=False).collect()))
 
 
-def test_late_rows_are_published_apart(spark, tmp_path):
-    stream = possessions.PossessionStream(
-        _info(spark), str(tmp_path / "state"), levels.to_tables(str(tmp_path / "out")), "t"
-    )
+class _Inbox:
+    """A possession stream over a folder of messages, started anew for every piece."""
+
+    def __init__(self, spark, folder, **settings):
+        self.spark, self.folder, self.settings, self.pieces = spark, folder, settings, 0
+        (folder / "inbox").mkdir()
+
+    def start(self):
+        source = messages.file_messages(self.spark, str(self.folder / "inbox"), "t", max_files=None)
+        emitted = possessions.possession_stream(source, _info(self.spark), "t", **{"idle": IDLE, **self.settings})
+        return possessions.start(emitted, str(self.folder / "out"), str(self.folder / "cp"), interval="100 milliseconds")
+
+    def add(self, entities):
+        (self.folder / f"{self.pieces}.tmp").write_text("\n".join(json.dumps(e) for e in entities))
+        (self.folder / f"{self.pieces}.tmp").rename(self.folder / "inbox" / f"{self.pieces}.txt")
+        self.pieces += 1
+
+    def feed(self, entities, silent):
+        """One run of the stream: takes the piece, and if ``silent`` waits until its halves have closed."""
+        self.add(entities)
+        query = self.start()
+        try:
+            possessions.await_silence(query, self.settings.get("idle", IDLE) if silent else -1)
+        finally:
+            query.stop()
+
+    def emitted(self):
+        return self.spark.read.parquet(str(self.folder / "out"))
+
+
+def test_possessions_do_not_depend_on_the_batches(spark, tmp_path):
+    entities = [e for f in _entities() for e in f]
+    # Cut inside frames: the ball of a frame may come a run after its players. The last half closes by silence alone.
+    for name, cuts in (("one", []), ("three", [24 * 3 + 10, 24 * 8 + 5])):
+        (tmp_path / name).mkdir()
+        inbox = _Inbox(spark, tmp_path / name, lateness=2, idle=10_000 if cuts else IDLE)
+        bounds = [0, *cuts, len(entities)]
+        for start, end in zip(bounds, bounds[1:]):
+            inbox.feed(entities[start:end], silent=end == len(entities))
+        got = possessions.sequences(inbox.emitted(), rounded=False)
+        assert sorted(map(str, got.collect())) == _batch_gold(spark)
+        assert possessions.late_rows(inbox.emitted()).count() == 0
+
+
+def test_frames_may_come_in_any_order_within_the_lateness(spark, tmp_path):
     frames = _entities()
+    inbox = _Inbox(spark, tmp_path, lateness=4, idle=10_000)
+    order = [2, 0, 1, 4, 3, 6, 5, 7, 10, 8, 9, 11]
+    entities = [e for n in order for e in frames[n]]
+    inbox.feed(entities[: 24 * 6], silent=False)
+    inbox.feed(entities[24 * 6 :], silent=True)
+    assert sorted(map(str, possessions.sequences(inbox.emitted(), rounded=False).collect())) == _batch_gold(spark)
 
-    def feed(numbers, batch_id):
-        lines = [(json.dumps(e),) for n in numbers for e in frames[n]]
-        topic = spark.createDataFrame(lines, "value string").selectExpr(
-            "value", "timestamp'2023-01-01' as timestamp", "'t' as topic"
-        )
-        stream.process(topic, batch_id)
-
-    feed([0, 1, 2, 3], 0)
-    feed([1, 4], 1)
-    assert spark.read.parquet(str(tmp_path / "out/late")).count() == 24
-    # A repeated batch replaces its own output.
-    feed([1, 4], 1)
-    assert spark.read.parquet(str(tmp_path / "out/late")).count() == 24
+
+def test_late_rows_are_counted_apart(spark, tmp_path):
+    frames = _entities()
+    inbox = _Inbox(spark, tmp_path, lateness=1)
+    inbox.feed([e for n in (0, 1, 2, 3) for e in frames[n]], silent=False)
+    inbox.feed([e for n in (1, 4) for e in frames[n]], silent=True)
+    late = possessions.late_rows(inbox.emitted()).collect()
+    assert {(r.frame_id, r.team_id): r.late_rows for r in late} == {(10001, "H"): 11, (10001, "G"): 11, (10001, "BALL"): 1, (10001, "referee"): 1}
+    assert {r.possession_id for r in possessions.sequences(inbox.emitted()).collect()} == {10000, 10002, 10004}
+
+
+def test_state_stays_flat(spark, tmp_path):
+    inbox = _Inbox(spark, tmp_path, lateness=3, idle=60_000)
+    entity = _entities()
+    query = inbox.start()
+    sizes = []
+    try:
+        for n in range(30):
+            frame = json.loads(json.dumps(entity[n % 12]))
+            for e in frame:
+                e["Frame"]["N"] = str(10000 + n)
+            inbox.add(frame)
+            while sum(p["numInputRows"] > 0 for p in query.recentProgress) <= n:
+                assert query.isActive
+                time.sleep(0.02)
+            sizes.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]][-1])
+    finally:
+        query.stop()
+    assert max(sizes[6:]) == max(sizes[6:12])
 
 
 def test_levels_switches_and_counts(spark, tmp_path):

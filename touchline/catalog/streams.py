@@ -47,8 +47,8 @@ def stream_bronze_silver_gold(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3) -> DataFrame:
-    """The rows in the order of frames, cut into micro-batches anywhere between frames."""
+def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3, idle: int = 8_000) -> DataFrame:
+    """The rows in the order of frames, each part taken up by a restart of the stream; silence closes the last half."""
     work = work_folder(spark)
     rows = raw_table(spark, folder)
     # Cut at frame numbers, so the rows of a part stay in as many tasks as they are.
@@ -56,19 +56,16 @@ def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3
     cuts = rows.agg(F.percentile_approx("frame_id", shares)).first()[0] or []
     part = sum(((F.col("frame_id") > cut).cast("int") for cut in cuts), F.lit(0))
     staged = _staged(rows.withColumn("part", part), work)
-    stream = possessions.PossessionStream(
-        match_info(spark), f"{work}/state", levels.to_tables(f"{work}/out"), TOPIC, rounded=False
-    )
-    last = -1
     for step in range(parts):
         inbox = _feed(spark, staged, step, work)
         source = messages.file_messages(spark, inbox, TOPIC, max_files=None)
-        query = possessions.start(source, stream, f"{work}/checkpoint", interval=None)
-        query.awaitTermination()
-        progress = query.lastProgress
-        last = last if progress is None else progress["batchId"]
-    stream.finish(spark, last)
-    return spark.read.parquet(f"{work}/out/gold").drop("stream_batch_id", "batch")
+        emitted = possessions.possession_stream(source, match_info(spark), TOPIC, idle=idle)
+        query = possessions.start(emitted, f"{work}/out", f"{work}/checkpoint", interval="250 milliseconds")
+        try:
+            possessions.await_silence(query, idle if step == parts - 1 else -1)
+        finally:
+            query.stop()
+    return possessions.sequences(spark.read.parquet(f"{work}/out"), rounded=False)
 
 
 QUERIES = (stream_bronze_silver_gold, stream_possessions_stateful)

@@ -1,147 +1,251 @@
-"""Possession sequences across micro-batches.
+"""Possession sequences of an endless stream, in keyed state with timers.
 
-State lies in tables, one version per batch: the rows of the newest frame of each half (more of
-it may come), the direction of each team, the last finished frame, and the sequence that may
-still go on. Batch ``n`` reads version ``n - 1`` and writes version ``n``, so a repeated batch
-reads the same state and replaces its own output. All work is joins and aggregates; the state
-grows with the number of halves, not with their frames.
+All rows of a half meet under its key. Its state holds the rows of frames that may still be incomplete, the direction of each team, the last finished
+frame and the sequence that may still go on. A frame is finished once a frame ``lateness`` numbers later has come: frame numbers are the
+half's own event time, so a delayed match does not hold others back, nor is it cut off by them. Rows of finished frames are counted as late.
 
-The frames of a half have to arrive in order, over any number of batches. Rows of a finished
-frame that come later are published as ``late``.
+A half of which nothing has come for ``idle`` closes by a processing-time timer: its last frames are finished and its last sequence is emitted, also when
+no later half ever starts. What is then left of it, directions and last frame, Spark evicts after ``keep``. So state grows with the halves that are being
+played, not with their frames.
+
+Reading messages, match metadata, coordinates for both directions and rounding are DataFrame expressions before the state, the contract's columns
+after it; only the steps between frames run in the state's Python worker. The state needs Spark's RocksDB provider, which ``start`` selects.
+The file sink makes output exactly-once over restarts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+import time
+from collections.abc import Iterator
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from touchline.operators.frames import fill_down
-from touchline.operators.kept import keep, released
-from touchline.operators.lookup import attach, bounded
-from touchline.plans import bronze, gold, raw, silver
+from touchline import schemas
+from touchline.functions.geometry import normalise_x
+from touchline.plans import bronze, gold, raw
 from touchline.sources import constants
-from touchline.streaming.levels import Publisher
 
 SECTION = bronze.SECTION
-RUN_KEYS = [*SECTION, "team_id"]
-
-
-def _same(left: str, right: str, names: list[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return condition
-
-
-def extend_runs(going_on: DataFrame, found: DataFrame, sums: list[str]) -> DataFrame:
-    """Runs of a batch, each taking in the run that ended just before it; others stay as they are."""
-    before, new = going_on.alias("o"), found.alias("n")
-    follows = _same("o", "n", RUN_KEYS) & (F.col("o.run_end") + 1 == F.col("n.run_start"))
-    joined = new.join(before, follows, "left")
-    extended = joined.select(
-        *[F.col(f"n.{key}").alias(key) for key in RUN_KEYS],
-        F.coalesce("o.run_start", "n.run_start").alias("run_start"),
-        F.col("n.run_end").alias("run_end"),
-        F.greatest("o.opponent_id", "n.opponent_id").alias("opponent_id"),
-        *[
-            # The sum of no value at all is NULL, as it is in the batch.
-            F.coalesce(F.col(f"o.{name}") + F.col(f"n.{name}"), f"n.{name}", f"o.{name}").alias(name)
-            for name in sums
-        ],
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Numbers by which frames may be late, milliseconds of silence after which a half ends, and for which its last state is kept.
+LATENESS, IDLE, KEEP = 25, 60_000, 6 * 3_600_000
+
+ROW = {
+    "frame_id": "long", "team_id": "string", "person_id": "string", "known": "boolean", "ball_possession": "string",
+    # Whole numbers that may be missing are doubles in pandas, and so they are here.
+    **dict.fromkeys(("x", "ahead", "back", "speed", "ball_status", "speed_sum", "ahead_sum", "back_sum"), "double"),
+}
+_SUMS = [f"{name}_{part}" for name in gold.AVERAGED for part in ("sum", "n")]
+RUN = {"team_id": "string", "run_start": "long", "run_end": "long", "opponent_id": "string", "num_frames": "long", **dict.fromkeys(_SUMS, "long")}
+SEQUENCE, LATE = "sequence", "late"
+
+
+def _ddl(fields: dict[str, str]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in fields.items())
+
+
+def _scaled(value: Column, digits: int) -> Column:
+    return F.round(value * F.lit(float(10**digits))).cast("bigint")
+
+
+def state_rows(messages: DataFrame, info: DataFrame, topic: str | None = None) -> DataFrame:
+    """Rows for the state: both possible coordinates, and every averaged value as a whole number of its last unit."""
+    rows = raw.message_positions(messages, topic).filter(F.col("match_id").isNotNull() & F.col("frame_id").isNotNull())
+    placed = bronze.with_possessing_team(bronze.with_match_info(rows, info), "ball_possession_code")
+    team = F.col("team_id")
+    known = team.isNotNull() & (team != schemas.REFEREE) & (F.col("person_id").isNotNull() | (team == schemas.BALL))
+    sides = placed.withColumns(
+        {name: normalise_x(F.col("x"), F.lit(direction), F.col("pitch_x")) for name, direction in (("ahead", 1), ("back", -1))}
     )
-    left_over = before.join(new, follows, "left_anti")
-    return extended.unionByName(left_over.select(*extended.columns))
-
-
-@dataclass
-class PossessionStream:
-    """``publish`` receives the finished sequences as level ``gold``, exact or ``rounded``."""
-
-    info: DataFrame
-    state: str
-    publish: Publisher
-    topic: str | None = None
-    rounded: bool = True
-    find_directions: Callable[[DataFrame], DataFrame] = bronze.earliest_directions
-
-    def _read(self, spark: SparkSession, batch_id: int, name: str) -> DataFrame | None:
-        return spark.read.parquet(f"{self.state}/{batch_id}/{name}") if batch_id >= 0 else None
-
-    def _write(self, table: DataFrame, batch_id: int, name: str) -> DataFrame:
-        path = f"{self.state}/{batch_id}/{name}"
-        table.write.mode("overwrite").parquet(path)
-        return table.sparkSession.read.schema(table.schema).parquet(path)
-
-    def process(self, messages: DataFrame, batch_id: int) -> None:
-        with released():
-            self._step(raw.message_positions(messages, self.topic).drop("_arrival_ms"), batch_id, finish=False)
-
-    def finish(self, spark: SparkSession, last_batch_id: int) -> None:
-        """Publishes what the last batch left open, once the stream has ended."""
-        held = self._read(spark, last_batch_id, "held")
-        with released():
-            self._step(held.limit(0), last_batch_id + 1, finish=True)
-
-    def _step(self, arrived: DataFrame, batch_id: int, finish: bool) -> None:
-        spark = arrived.sparkSession
-        before = {
-            name: self._read(spark, batch_id - 1, name) for name in ("held", "seen", "directions", "open")
+    sums = {"speed_sum": _scaled(F.col("speed"), gold.SPEED_DIGITS)}
+    sums |= {f"{name}_sum": _scaled(F.col(name), gold.LINE_DIGITS) for name in ("ahead", "back")}
+    return sides.withColumns({"known": F.coalesce(known, F.lit(False)), **sums}).select(
+        *SECTION, *[F.col(name).cast(kind) for name, kind in ROW.items()]
+    )
+
+
+def _first_of(rows: pd.DataFrame, by: list[str], column: str, last: bool = False) -> pd.Series:
+    """Per frame the first (or last) present value in the order of ``by``."""
+    ordered = rows[rows[column].notna()].sort_values(by, na_position="first").groupby("frame_id")[column]
+    return ordered.last() if last else ordered.first()
+
+
+def frame_facts(rows: pd.DataFrame, directions: dict[str, int], k: int) -> pd.DataFrame:
+    """Active frames in order: possessing team, opponent, and the values of the sequence averages."""
+    rows = rows[rows["known"]].reset_index(drop=True)
+    is_ball = rows["team_id"] == schemas.BALL
+    order = ["person_id", "x", "ball_possession", "ball_status"]
+    balls = rows[is_ball].assign(person_id=rows["person_id"].fillna("")).sort_values(order, na_position="first")
+    ball = balls.drop_duplicates("frame_id").set_index("frame_id")
+    for name in ("ball_possession", "ball_status"):
+        held = rows["frame_id"].map(ball[name])
+        rows = rows.assign(**{name: held.where(held.notna(), rows[name])})
+    rows = rows[rows["ball_status"] == 1]
+    is_ball = rows["team_id"] == schemas.BALL
+    held = rows["ball_possession"].notna()
+    own = held & (rows["ball_possession"] == rows["team_id"])
+    turned = rows["team_id"].map(directions) == 1
+    players = rows.assign(own=own, at=rows["ahead"].where(turned, rows["back"]), line=rows["ahead_sum"].where(turned, rows["back_sum"]))
+    players = players[~is_ball & held & players["at"].notna()].sort_values(["frame_id", "own", "at"])
+    kth = players[players.groupby(["frame_id", "own"]).cumcount() == k].set_index("frame_id")
+    facts = pd.DataFrame(index=np.sort(rows["frame_id"].unique()))
+    facts["team_id"] = _first_of(rows, ["frame_id", "ball_possession"], "ball_possession", last=True)
+    facts["opponent_id"] = _first_of(rows[~is_ball & held & ~own], ["frame_id", "team_id"], "team_id", last=True)
+    facts["avg_ball_speed"] = _first_of(rows[is_ball], ["frame_id", "speed"], "speed_sum", last=True)
+    facts["avg_offside_line"] = kth.loc[kth["own"], "line"]
+    facts["opponent_avg_offside_line"] = kth.loc[~kth["own"], "line"]
+    return facts
+
+
+def runs_of(facts: pd.DataFrame) -> list[dict]:
+    """Runs of consecutive frames with one possessing team, in order."""
+    frame, team = facts.index.to_numpy(), facts["team_id"].where(facts["team_id"].notna(), None).to_numpy(dtype=object)
+    opens = np.ones(len(frame), dtype=bool)
+    opens[1:] = (np.diff(frame) != 1) | (team[1:] != team[:-1])
+    runs = []
+    for _, part in facts.groupby(np.cumsum(opens)):
+        opponents = part["opponent_id"].dropna()
+        run = {
+            "team_id": part["team_id"].iloc[0] if pd.notna(part["team_id"].iloc[0]) else None,
+            "run_start": int(part.index[0]), "run_end": int(part.index[-1]), "opponent_id": opponents.max() if len(opponents) else None,
+            "num_frames": len(part),
         }
-        together = arrived if before["held"] is None else arrived.unionByName(before["held"])
-        rows = keep(together)
-        if before["seen"] is not None:
-            # NULL: a half that was not seen before.
-            rows_seen = attach(rows, bounded(before["seen"]), SECTION)
-            late = F.col("frame_id") <= F.col("last_frame")
-            self.publish("late", rows_seen.filter(late).drop("last_frame"), batch_id)
-            rows = rows_seen.filter(F.coalesce(~late, F.lit(True))).drop("last_frame")
-
-        newest = bounded(rows.groupBy(*SECTION).agg(F.max("frame_id").alias("_newest")))
-        timed = attach(rows, newest, SECTION, "inner")
-        whole = F.lit(True) if finish else F.col("frame_id") < F.col("_newest")
-        complete = keep(timed.filter(whole).drop("_newest"))
-        self._write(timed.filter(~whole).drop("_newest"), batch_id, "held")
-
-        seen = complete.groupBy(*SECTION).agg(F.max("frame_id").alias("last_frame"))
-        if before["seen"] is not None:
-            seen = seen.unionByName(before["seen"]).groupBy(*SECTION).agg(F.max("last_frame").alias("last_frame"))
-        seen = self._write(seen, batch_id, "seen")
-
-        directions = self.find_directions(complete)
-        if before["directions"] is not None:
-            known = before["directions"]
-            new = directions.join(known.select(*SECTION).distinct(), SECTION, "left_anti")
-            directions = known.unionByName(new)
-        directions = self._write(directions, batch_id, "directions")
-
-        runs = self._runs(complete, directions)
-        if before["open"] is not None:
-            sums = [c for c in runs.columns if c not in (*RUN_KEYS, "run_start", "run_end", "opponent_id")]
-            runs = extend_runs(before["open"], runs, sums)
-        runs = keep(attach(runs, bounded(seen), SECTION, "inner"))
-        going_on = F.lit(False) if finish else F.col("run_end") == F.col("last_frame")
-        self._write(runs.filter(going_on).drop("last_frame"), batch_id, "open")
-        finished = gold.sequence_columns(runs.filter(~going_on), self.rounded)
-        self.publish("gold", finished.withColumn("stream_batch_id", F.lit(batch_id).cast("bigint")), batch_id)
-
-    def _runs(self, complete: DataFrame, directions: DataFrame) -> DataFrame:
-        code = {"ball_possession_code": "ball_possession"}
-        as_raw = complete.withColumnsRenamed(code).withColumn("z", F.lit(None).cast("double"))
-        known = silver.identified(bronze.bronze_positions(as_raw, self.info, directions))
-        return gold.possession_runs(gold.frame_summary(fill_down(known)))
-
-
-def start(
-    messages: DataFrame,
-    stream: PossessionStream,
-    checkpoint: str,
-    interval: str | None = constants.TRIGGER_INTERVAL,
-) -> StreamingQuery:
-    writer = messages.writeStream.foreachBatch(stream.process).option("checkpointLocation", checkpoint)
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
+        for name in gold.AVERAGED:
+            count = int(part[name].notna().sum())
+            run |= {f"{name}_sum": int(part[name].sum()) if count else None, f"{name}_n": count}
+        runs.append(run)
+    return runs
+
+
+def joined_runs(one: dict, other: dict) -> dict:
+    """Two runs of one team, the second of which goes on where the first ends."""
+    made = {**other, "run_start": one["run_start"]}
+    for name in ("num_frames", *_SUMS):
+        values = [v for v in (one[name], other[name]) if v is not None]
+        made[name] = sum(values) if values else None
+    made["opponent_id"] = max((v for v in (one["opponent_id"], other["opponent_id"]) if v is not None), default=None)
+    return made
+
+
+class Sequences(StatefulProcessor):
+    """State of one half."""
+
+    def __init__(self, lateness: int, idle: int, keep: int, k: int):
+        self.lateness, self.idle, self.keep, self.k = lateness, idle, keep, k
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", _ddl(ROW))
+        self.directions = handle.getMapState("directions", "team_id string", "direction int", self.keep)
+        self.going_on = handle.getValueState("open", _ddl(RUN))
+        self.last = handle.getValueState("last", "frame_id long", self.keep)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows), ignore_index=True)[[*ROW]]
+        last = self.last.get()[0] if self.last.exists() else None
+        if last is not None:
+            late = arrived["frame_id"] <= last
+            if late.any():
+                counted = arrived[late].groupby(["frame_id", "team_id"], dropna=False).size().reset_index(name="num_frames")
+                yield self._output(key, LATE, counted.rename(columns={"frame_id": "run_start"}))
+            arrived = arrived[~late]
+        held = pd.DataFrame([tuple(row) for row in self.pending.get()], columns=[*ROW]) if self.pending.exists() else arrived.iloc[:0]
+        some = [part for part in (held, arrived) if len(part)]
+        together = pd.concat(some, ignore_index=True) if some else arrived
+        if len(together):
+            done = together["frame_id"] <= together["frame_id"].max() - self.lateness
+            yield from self._advance(key, together[done], finish=False)
+            rest = together[~done].astype(object)
+            self.pending.put([tuple(row) for row in rest.where(rest.notna(), None).itertuples(index=False)])
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = pd.DataFrame([tuple(row) for row in self.pending.get()] if self.pending.exists() else [], columns=[*ROW])
+        yield from self._advance(key, held, finish=True)
+        self.pending.clear()
+
+    def close(self) -> None:
+        pass
+
+    def _advance(self, key, rows: pd.DataFrame, finish: bool) -> Iterator[pd.DataFrame]:
+        """Takes finished frames into the sequences; ``finish`` closes the last one."""
+        runs = [dict(zip(RUN, self.going_on.get(), strict=True))] if self.going_on.exists() else []
+        last = None
+        if len(rows):
+            last = int(rows["frame_id"].max())
+            for run in runs_of(frame_facts(rows, self._known_directions(rows), self.k)):
+                follows = runs and runs[-1]["team_id"] == run["team_id"] and runs[-1]["run_end"] + 1 == run["run_start"]
+                runs[-1:] = [joined_runs(runs[-1], run)] if follows else [*runs[-1:], run]
+            self.last.update((last,))
+        stays = bool(runs) and not finish and (last is None or runs[-1]["run_end"] == last)
+        if stays:
+            self.going_on.update(tuple(runs.pop().values()))
+        else:
+            self.going_on.clear()
+        if runs:
+            yield self._output(key, SEQUENCE, pd.DataFrame(runs))
+
+    def _known_directions(self, rows: pd.DataFrame) -> dict[str, int]:
+        """Of the first frame that has a player with a position: +1 where the leftmost is farther from the centre than the rightmost."""
+        if self.directions.exists():
+            return {team[0]: direction[0] for team, direction in self.directions.iterator()}
+        players = rows[rows["team_id"].notna() & ~rows["team_id"].isin([schemas.BALL, schemas.REFEREE]) & rows["x"].notna()]
+        first = players[players["frame_id"] == players["frame_id"].min()].groupby("team_id")["x"].agg(["min", "max"])
+        found = {team: 1 if abs(low) > abs(high) else -1 for team, low, high in first.itertuples()}
+        for team, direction in found.items():
+            self.directions.updateValue((team,), (direction,))
+        return found
+
+    def _output(self, key, kind: str, rows: pd.DataFrame) -> pd.DataFrame:
+        made = rows.reindex(columns=[*RUN]).assign(kind=kind, match_id=key[0], game_section=key[1]).astype(object)
+        return made.where(made.notna(), None)[["kind", *SECTION, *RUN]]
+
+
+def possession_stream(
+    messages: DataFrame, info: DataFrame, topic: str | None = None, lateness: int = LATENESS, idle: int = IDLE, keep: int = KEEP,
+    k: int = constants.OFFSIDE_LINE_INDEX,
+) -> DataFrame:
+    """Closed sequences (``kind`` is ``sequence``) as mergeable sums, and counts of late rows by frame (``run_start``) and team (``late``)."""
+    output = _ddl({"kind": "string", "match_id": "string", "game_section": "string", **RUN})
+    return state_rows(messages, info, topic).groupBy(*SECTION).transformWithStateInPandas(
+        Sequences(lateness, idle, keep, k), output, "Append", "ProcessingTime"
+    )
+
+
+def sequences(emitted: DataFrame, rounded: bool = True) -> DataFrame:
+    """The gold contract of what the stream has written."""
+    return gold.sequence_columns(emitted.filter(F.col("kind") == SEQUENCE), rounded)
+
+
+def late_rows(emitted: DataFrame) -> DataFrame:
+    """``match_id, game_section, frame_id, team_id, late_rows``: what came after its frame was finished."""
+    late = emitted.filter(F.col("kind") == LATE)
+    return late.groupBy(*SECTION, F.col("run_start").alias("frame_id"), "team_id").agg(F.sum("num_frames").alias("late_rows"))
+
+
+def start(emitted: DataFrame, path: str, checkpoint: str, interval: str = constants.TRIGGER_INTERVAL) -> StreamingQuery:
+    """Writes the stream to a parquet folder by kind. Timers need batches, so the stream runs until it is stopped."""
+    emitted.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    writer = emitted.writeStream.format("parquet").partitionBy("kind").option("path", path).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=interval).start()
+
+
+def await_silence(query: StreamingQuery, idle: int = IDLE, timeout: float = 600.0) -> None:
+    """Waits until rows have come and a batch has begun more than ``idle`` milliseconds after the last of them: then all their halves have closed."""
+    until, fed = time.monotonic() + timeout, None
+    while time.monotonic() < until and query.isActive:
+        batches = [(datetime.fromisoformat(p["timestamp"]), p["numInputRows"]) for p in query.recentProgress]
+        fed = max([at for at, rows in batches if rows], default=fed)
+        if fed is not None and (batches[-1][0] - fed).total_seconds() * 1000 > idle:
+            return
+        time.sleep(0.1)
+    if query.exception() is not None:
+        raise query.exception()
+    raise TimeoutError("the stream did not become silent")
