@@ -120,7 +120,7 @@ def test_frames_may_come_in_any_order_within_the_lateness(spark, tmp_path):
 
 def test_late_rows_are_counted_apart(spark, tmp_path):
     frames = _entities()
-    inbox = _Inbox(spark, tmp_path, lateness=1)
+    inbox = _Inbox(spark, tmp_path, lateness=1, idle=8_000)
     inbox.feed([e for n in (0, 1, 2, 3) for e in frames[n]], silent=False)
     inbox.feed([e for n in (1, 4) for e in frames[n]], silent=True)
     late = possessions.late_rows(inbox.emitted()).collect()
