@@ -71,16 +71,26 @@ def test_near_copies_of_random_families_equal_brute_force(spark):
 
 def test_linked_sets_share_signatures():
     draw = np.random.default_rng(1)
-    for size in (1, 2, 4, 5, 8, 9, 30, 77, 200, 640):
-        for _ in range(20):
+    for size in (1, 2, 4, 5, 8, 9, 13, 20, 30, 50, 77, 200, 640):
+        for _ in range(40):
             x = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
-            # The largest difference a link allows: elements dropped and others added.
+            # Up to the largest difference a link allows: elements dropped and others added.
             drop = draw.integers(0, size // 5 + 1)
-            y = np.unique(np.concatenate([x[drop:], draw.integers(0, 2**64, max(0, (size - drop) * 5 // 4 - size), dtype=np.uint64)]))
+            y = np.unique(np.concatenate([x[drop:], draw.integers(0, 2**64, draw.integers(0, max(0, (size - drop) * 5 // 4 - size) + 1), dtype=np.uint64)]))
             both = len(np.intersect1d(x, y))
             if 100 * both >= 80 * (len(x) + len(y) - both):
-                shared = set(jaccard.signatures(x).tolist()) & set(jaccard.signatures(y).tolist())
-                assert len(shared) >= jaccard.signed_by(min(len(x), len(y))) - (len(x) + len(y)) // 9
+                made, of = jaccard.signatures([x, y])
+                low, high = sorted((len(x), len(y)))
+                shared = set(made[of == 0].tolist()) & set(made[of == 1].tolist())
+                assert len(shared) >= -(-(low // 4 + 1 - (low + high) // 9) // 2)
+
+
+def test_signatures_do_not_depend_on_other_sets():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 2**64, n, dtype=np.uint64)) for n in (3, 0, 40, 1, 200, 41)]
+    made, of = jaccard.signatures(sets)
+    for i, found in enumerate(sets):
+        assert sorted(made[of == i].tolist()) == sorted(jaccard.signatures([found])[0].tolist())
 
 
 def test_components(spark):

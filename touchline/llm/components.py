@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from touchline.operators.lineage import checkpointed
 
+#: Edges of a task in a round.
+PER_TASK = 200_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of an edge; the component is its smallest node.
@@ -14,13 +17,15 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of large stars (every neighbour above a node is tied to the smallest neighbour) and small stars (every one below)
     bring all nodes of a component to its minimum in a logarithmic number of rounds. Each is a grouping of edges with
     map-side minima, so a hub costs one row per task; the table is stored after each round, and the rounds end when it no longer changes.
+    A round runs in as many tasks as its edges fill, ``PER_TASK`` in each, so that small graphs leave few files.
     """
     now = checkpointed(edges.toDF("a", "b").where("a <> b").distinct())
-    mark = None
+    mark, rows = None, now.count()
     while True:
-        starred = _star(_star(now, large=True), large=False)
-        now = checkpointed(starred)
+        tasks = max(1, -(-rows // PER_TASK))
+        now = checkpointed(_star(_star(now.coalesce(tasks), True, tasks), False, tasks))
         after = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        rows = after[0]
         if after == mark:
             break
         mark = after
@@ -29,15 +34,15 @@ def components(edges: DataFrame) -> DataFrame:
     return ends.unionByName(roots).distinct()
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if not large:
         # Only the neighbours below a node, itself the largest.
         both = both.where("b < a")
-    lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    tied = both.join(lowest, "a")
+    lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")).coalesce(tasks)
+    tied = both.join(lowest, "a").coalesce(tasks)
     if large:
         made = tied.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
         made = tied.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(lowest.select("a", F.col("low").alias("b")))
-    return made.where("a <> b").distinct()
+    return made.where("a <> b").distinct().coalesce(tasks)

@@ -4,11 +4,13 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles (words
 the whole sequence is one). Two documents link when ``100 * intersection >= 80 * union``; no set, no link.
 
 Signatures. Two linked sets of sizes ``x <= y`` differ in at most ``(x + y) / 9 <= x / 4`` elements. Sets are dealt into bands of
-sizes; a set takes part in its own band and, if a partner may be larger than the band's end, in the next. Each band partitions the hash
-domain into equal ranges. A set signs, in order of the ranges, its first ``s = x * 11 // 40 + 1`` non-empty ones, each by the sum of its mixed
-elements: of these at most ``(x + y) // 9 <= x // 4`` can hold a differing element, so a linked pair shares
-``s - (x + y) // 9 >= 1`` signatures in a band (for that the ranges are so many that a set has more non-empty ones than it must
-sign, save for a chance below 1e-9 for a set).
+sizes; a set takes part in its own band and, if a partner may be larger than the band's end, in the next. Each band partitions the hash domain into
+equal ranges (first level), and each range into three parts (second level). Of a range two of the three parts are signed, in all three ways: sets that differ in
+a range by one element share the way that leaves its part out. Parts that hold less than two elements in all are signed together with the third
+part, whole and without each of its elements, so no signature stands for less than two elements.
+In order of the ranges a set signs those with two elements or more, until their weight (2 for three elements or more, else 1) exceeds ``x // 4``. A range of weight
+``w`` is lost to a partner only by ``w`` differing elements: so a linked pair shares a range, and at least
+``(x // 4 + 1 - (x + y) // 9) / 2`` signatures. A set whose ranges do not reach that weight also signs all its elements one by one; two such sets share most of these.
 
 Work. Texts equal up to white space are one node first. Signatures are shuffled once; only those that several nodes share go on.
 Each bucket has a centre, its node with the largest buckets in all, which in a group of near copies is the text they stem from. (1) A node and
@@ -61,8 +63,8 @@ def bands(size: int) -> list[int]:
 
 
 def ranges_of(end: int) -> int:
-    """Number of ranges of the hash domain in a band: about three elements each, one each in small sets."""
-    return 1 << 16 if end <= 64 else int(0.33 * end) + 32
+    """Number of ranges of the hash domain in a band: some six elements each, and a margin for small sets."""
+    return max(1, end // 7 + round(0.35 * end**0.5) + (end > 6) - (end > 60))
 
 
 def shingles(words: Words) -> list[np.ndarray]:
@@ -80,37 +82,89 @@ def shingles(words: Words) -> list[np.ndarray]:
     return sets
 
 
-def signed_by(size: int) -> int:
-    """How many ranges a set of this size signs: a tenth more than can differ, so that sharing one by chance is not enough."""
-    return size * 11 // 40 + 1
+def may_differ(size):
+    """In how many elements a set differs at most from a linked one that is not smaller."""
+    return size // 4
 
 
 def signed(size: F.Column) -> F.Column:
-    return F.floor(size * 11 / 40) + 1
-
-
-def signatures(found: np.ndarray) -> np.ndarray:
-    """PartEnum signatures of one sorted set, in all bands it takes part in."""
-    size = len(found)
-    if not size:
-        return found
-    ends = bands(size)
-    band = next(i for i, end in enumerate(ends) if end >= size)
-    own = [band, band + 1] if size * 5 > ends[band] * 4 - 5 else [band]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(found), dtype=np.uint64)])
-    made = []
-    for number in own:
-        count = ranges_of(ends[number])
-        # Equal ranges of the top 32 bits; the set is sorted, so each holds consecutive elements.
-        held = (found >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
-        begins = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
-        stops = np.append(begins[1:], size)
-        first = slice(0, signed_by(size))
-        total = sums[stops[first]] - sums[begins[first]]
-        salted = mixed(total + held[begins[first]] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number))
-        # The last bit tells the two bands of a set apart.
-        made.append(salted & ~np.uint64(1) | np.uint64(number % 2))
-    return np.concatenate(made)
+    """About how many signatures a set has in a band."""
+    return size * 0.4 + 2
+
+
+def least_shared(small: F.Column, large: F.Column) -> F.Column:
+    """How many signatures of a band linked sets share at least."""
+    return F.ceil((F.floor(small / 4) + 1 - F.floor((small + large) / 9)) / 2)
+
+
+_THREE = np.uint64(3)
+_RANGE, _LONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x165667B19E3779F9)
+_PARTS = mixed(np.arange(101, 104, dtype=np.uint64))
+
+
+def _sums(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(values) + 1, dtype=values.dtype)
+    np.cumsum(values, out=total[1:])
+    return total[stops] - total[starts]
+
+
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """PartEnum signatures of sorted sets, in all bands they take part in: the signatures and the number of the set of each, in order."""
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    ends = np.array(bands(int(size.max(initial=1))), dtype=np.int64)
+    band = np.searchsorted(ends, size)
+    whole = np.arange(len(sets))
+    second = (size * 5 > ends[band] * 4 - 5) & (size > 0)
+    # A set in a band takes part; its elements are looked at once for each.
+    part_set = np.concatenate([whole[size > 0], whole[second]])
+    part_band = np.concatenate([band[size > 0], band[second] + 1])
+    first = np.append(0, np.cumsum(size))
+    taken = size[part_set]
+    begin = np.cumsum(taken) - taken
+    part = np.repeat(np.arange(len(taken)), taken)
+    elements = np.concatenate([*sets, np.empty(0, np.uint64)])[np.arange(len(part)) - begin[part] + first[part_set[part]]]
+    count = np.array([ranges_of(int(e)) for e in ends], dtype=np.uint64)
+    # The top 32 bits choose the range, and the rest of that product the third of it.
+    scaled = (elements >> np.uint64(32)) * count[part_band[part]]
+    held, third = (scaled >> np.uint64(32)).astype(np.int64), ((scaled & np.uint64(0xFFFFFFFF)) * _THREE >> np.uint64(32)).astype(np.int64)
+    opens = np.ones(len(part), dtype=bool)
+    opens[1:] = (part[1:] != part[:-1]) | (held[1:] != held[:-1])
+    starts = np.flatnonzero(opens)
+    stops = np.append(starts[1:], len(part))
+    owner, m = part[starts], stops - starts
+    weight = np.where(m >= 3, 2, m == 2)
+    before = np.cumsum(weight) - weight
+    before -= before[np.searchsorted(owner, owner)]
+    need = may_differ(size[part_set])
+    signs = (m >= 2) & (before <= need[owner])
+    reached = np.bincount(owner, weights=weight, minlength=len(taken)) > need
+    value = mixed(elements)
+    salt = mixed(part_band.astype(np.uint64))[owner] + (held[starts] + 1).astype(np.uint64) * _RANGE
+    total = _sums(value, starts, stops)
+    made, of = [], []
+    for out in range(3):
+        inside = third == out
+        lone = _sums(np.where(inside, value, np.uint64(0)), starts, stops)
+        left = m - _sums(inside.astype(np.int64), starts, stops)
+        base = total - lone + salt + _PARTS[out]
+        plain = np.flatnonzero(signs & (left >= 2))
+        poor = np.flatnonzero(signs & (left < 2))
+        made += [base[plain], (base + _LONE + lone * _LONE)[poor]]
+        of += [owner[plain], owner[poor]]
+        poor = poor[m[poor] >= 3]
+        each = np.repeat(poor, m[poor])
+        place = np.arange(len(each)) - np.repeat(np.cumsum(m[poor]) - m[poor], m[poor]) + starts[each]
+        each, place = each[inside[place]], place[inside[place]]
+        made.append(base[each] + _LONE + (lone[each] - value[place]) * _LONE)
+        of.append(owner[each])
+    single = np.flatnonzero(~reached[part])
+    made.append(value[single] + mixed(part_band[part[single]].astype(np.uint64) + np.uint64(1 << 20)))
+    of.append(part[single])
+    made, of = np.concatenate(made), np.concatenate(of)
+    # The last bit tells the two bands of a set apart.
+    made = mixed(made) & ~np.uint64(1) | (part_band[of] % 2).astype(np.uint64)
+    order = np.argsort(part_set[of], kind="stable")
+    return made[order], part_set[of][order]
 
 
 def _node() -> F.Column:
@@ -133,11 +187,14 @@ def _signed(texts: DataFrame) -> DataFrame:
             nodes = batch.column("node").to_numpy()
             for words in in_chunks(batch.column("text")):
                 sets = shingles(words)
-                signed = [signatures(s) if len(s) else np.zeros(1, np.uint64) for s in sets]
-                counts = np.array([len(s) for s in signed])
-                size = np.zeros(counts.sum(), dtype=np.int32)
-                size[np.cumsum(counts) - counts] = [len(s) for s in sets]
-                columns = [np.concatenate(signed).view(np.int64), np.repeat(nodes[words.rows], counts), size]
+                made, of = signatures(sets)
+                empty = np.flatnonzero([not len(found) for found in sets])
+                of = np.concatenate([of, empty])
+                order = np.argsort(of, kind="stable")
+                made, of = np.concatenate([made, np.zeros(len(empty), np.uint64)])[order], of[order]
+                size = np.zeros(len(of), dtype=np.int32)
+                size[np.searchsorted(of, np.arange(len(sets)))] = [len(found) for found in sets]
+                columns = [made.view(np.int64), nodes[words.rows][of], size]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "node", "size"])
 
     return texts.mapInArrow(task, "signature long, node long, size int")
@@ -292,13 +349,14 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     fit &= (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
     across = left.join(right, "signature").where(fit).groupBy("a_place", "b_place")
     odd = F.col("signature").bitwiseAND(F.lit(1))
-    across = across.agg(F.greatest(F.sum(odd), F.sum(1 - odd)).alias("shared"))
+    ends = [F.max(f"{side}_size").alias(f"{side}_size") for side in "ab"]
+    across = across.agg(F.greatest(F.sum(odd), F.sum(1 - odd)).alias("shared"), *ends)
+    across = across.where(F.col("shared") >= least_shared(F.least("a_size", "b_size"), F.greatest("a_size", "b_size")))
     for side in "ab":
-        named = sizes.select(F.col("place").alias(f"{side}_place"), F.col("node").alias(side), F.col("size").alias(f"{side}_size"))
+        named = sizes.select(F.col("place").alias(f"{side}_place"), F.col("node").alias(side))
         across = across.join(small_or_whole(named), f"{side}_place")
-    least = signed(F.least("a_size", "b_size")) - F.floor((F.col("a_size") + F.col("b_size")) / 9)
     near = F.col("shared") >= FAMILY * signed(F.least("a_size", "b_size"))
-    second = verified(texts, checkpointed(across.where(F.col("shared") >= least).select("a", "b", near.alias("near"))))
+    second = verified(texts, checkpointed(across.select("a", "b", near.alias("near"))))
     return sizes.select("node", "size"), checkpointed(first.unionByName(second))
 
 
