@@ -2,8 +2,8 @@ import json
 
 from touchline import schemas
 from touchline.operators import events, quality
-from touchline.plans import pipeline, raw
-from touchline.sources import constants, files, match_info, messages, sinks
+from touchline.plans import incremental, pipeline, raw
+from touchline.sources import constants, files, match_info, messages, quarantine, sinks
 
 
 def _entity(n, team, person, x="1.5", **more):
@@ -162,3 +162,80 @@ def test_batch_pipeline_end_to_end(spark, tmp_path):
     assert silver.schema["match_id"].dataType.simpleString() == "string" and silver.count() == 42
     pruned = silver.filter("match_id = '7'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(match_id" in pruned
+
+
+def test_rejects_and_good_rows_add_up(spark, tmp_path):
+    good = json.dumps({"n": 1, "frames": [_entity(1, "H", "h1")]})
+    lines = [good, good[:-9], "nonsense", '{"n": 2, "frames": []}', '{"n": 3}', '{"n": 4, "frames": "x"}', '{"n": "y", "frames": [{}]}', "", good]
+    _write(tmp_path / "in", "a.json", "\n".join(lines))
+    split = quarantine.time_major(quarantine.text_lines(spark, str(tmp_path / "in")))
+    assert [r.n for r in split.good.collect()] == [1, 1] and raw.raw_positions(split.good).count() == 2
+    rejects = split.rejects.collect()
+    assert split.rejects.columns == list(quarantine.REJECT_COLUMNS)
+    assert sorted(r.reason for r in rejects) == ["no entities"] * 2 + ["not a record"] * 4 and {r.file for r in rejects} == {"a.json"}
+    assert {r.text for r in rejects} == set(lines) - {good, ""}
+
+
+def test_rejected_messages(spark):
+    entity = _entity(5, "H", "h1")
+    nobody = {"Frame": {"N": "1"}, "FrameSet": {}}
+    texts = [json.dumps(entity), "{broken", json.dumps(nobody), None]
+    topic = spark.createDataFrame([(t,) for t in texts], "value string").selectExpr("value", "timestamp'2023-01-01' as timestamp", "'t' as topic")
+    split = quarantine.entity_messages(topic, "t")
+    assert [r.frame_id for r in raw.message_positions(split.good).collect()] == [5]
+    assert sorted((r.reason, r.text or "") for r in split.rejects.collect()) == [
+        ("no match or frame", json.dumps(nobody)), ("not a message", ""), ("not a message", "{broken")
+    ]
+
+
+def test_rejected_documents_and_overrides(spark, tmp_path):
+    whole = DOCUMENT.format(match="M1", home="H", players=_player("k", "TW", "true"))
+    _write(tmp_path / "xml", "one.xml", whole)
+    _write(tmp_path / "xml", "two.xml", whole.replace("M1", "M2") + whole.replace("M1", "M3"))
+    _write(tmp_path / "xml", "cut.xml", whole[: len(whole) // 2])
+    _write(tmp_path / "xml", "odd.xml", whole.replace("<Teams>", "<Teams"))
+    _write(tmp_path / "xml", "none.xml", DOCUMENT.format(match="", home="H", players=""))
+    split = quarantine.match_documents(quarantine.text_lines(spark, str(tmp_path / "xml"), whole=True))
+    assert {r.match_id: tuple(r)[1:] for r in match_info.match_info(split.good).collect()} == dict.fromkeys(("M1", "M2", "M3"), (105.0, 68.0, "H", "G"))
+    plain = files.match_documents(spark, str(tmp_path / "xml"), name_filter="one.xml").drop("source_file")
+    assert split.good.filter("source_file = 'one.xml'").drop("source_file").collect() == plain.collect()
+    assert match_info.goalkeepers(match_info.parsed_documents(split.good)).first().goalkeeper_id == "k"
+    assert {r.file: r.reason for r in split.rejects.collect()} == {"cut.xml": "no document", "odd.xml": "not a document", "none.xml": "no match"}
+    _write(tmp_path / "json", "A.json", json.dumps({"home_team_id": "X", "pitch_x": 100}, indent=1))
+    _write(tmp_path / "json", "bad.json", "{nonsense")
+    overrides = quarantine.match_overrides(quarantine.text_lines(spark, str(tmp_path / "json"), whole=True))
+    assert [tuple(r) for r in overrides.good.collect()] == [("A", 100.0, None, "X", None)]
+    assert [(r.file, r.text) for r in overrides.rejects.collect()] == [("bad.json", "{nonsense")]
+
+
+def _records(match, frames, holder):
+    for n in frames:
+        entities = [_entity(n, "BALL", "b", x="0", S="9")]
+        for team, side in (("H", -1), ("G", 1)):
+            entities += [_entity(n, team, f"{team}{i}", x=str(side * (10 + 5 * i))) for i in range(3)]
+        for e in entities:
+            e["Frame"]["BallPossession"] = holder(n)
+            e["FrameSet"]["MatchId"] = match
+        yield json.dumps({"n": n, "frames": entities})
+
+
+def test_growing_folders_equal_one_run(spark, tmp_path):
+    holder = lambda n: "1" if n < 10004 else "2"
+    both = {m: list(_records(m, range(10000, 10008), holder)) for m in ("7", "8")}
+    growing = incremental.Growing(str(tmp_path / "json"), str(tmp_path / "xml"), str(tmp_path / "out"))
+    _write(tmp_path / "json", "a.json", "\n".join([*both["7"], *both["8"][:3], "broken"]))
+    _write(tmp_path / "xml", "a.xml", DOCUMENT.format(match="7", home="H", players=""))
+    assert incremental.advance(spark, growing)
+    kept = sorted((tmp_path / "out/gold_possessions/match_id=7").glob("*.parquet"))
+    _write(tmp_path / "json", "b.json", "\n".join(both["8"][3:]))
+    _write(tmp_path / "xml", "b.xml", DOCUMENT.format(match="8", home="H", players=""))
+    # A call that breaks off after taking up files is made up for by the next.
+    incremental.take_up(spark, growing)
+    assert incremental.publish(spark, growing) and not incremental.advance(spark, growing)
+    assert sorted((tmp_path / "out/gold_possessions/match_id=7").glob("*.parquet")) == kept
+    _write(tmp_path / "whole", "a.json", "\n".join([*both["7"], *both["8"]]))
+    tables = pipeline.run_batch(spark, str(tmp_path / "whole"), growing.documents, str(tmp_path / "once"))
+    for stage in ("bronze_positions", "silver_positions", "gold_possessions"):
+        one, other = (spark.read.parquet(p) for p in (tables.path(stage), growing.path(stage)))
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.select(*one.columns).collect()))
+    assert [tuple(r) for r in incremental.rejects(spark, growing).collect()] == [("time_major", "a.json", "broken", "not a record")]

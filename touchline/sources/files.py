@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,13 +54,16 @@ def match_overrides(spark: SparkSession, path: str) -> DataFrame:
         .json(path)
         .select("*", F.col("_metadata.file_name").alias("file_name"))
     )
-    file_id = F.regexp_extract("file_name", r"^(.*)\.json$", 1)
-    named = F.coalesce(F.nullif(F.col("match_id"), F.lit("")), file_id)
     return raw.filter(F.col("_corrupt").isNull()).select(
-        named.alias("match_id"), "pitch_x", "pitch_y", "home_team_id", "guest_team_id"
+        named_override("match_id", "file_name"), "pitch_x", "pitch_y", "home_team_id", "guest_team_id"
     )
 
 
+def named_override(match_id: str, file: str) -> Column:
+    """The match of an override document: its own id, else the name of its file."""
+    return F.coalesce(F.nullif(F.col(match_id), F.lit("")), F.regexp_extract(file, r"^(.*)\.json$", 1)).alias("match_id")
+
+
 def stage_table(spark: SparkSession, location: str, schema: T.StructType | None = None) -> DataFrame:
     """An upstream stage, by parquet path or by catalog name.
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def write_by_match(
-    df: DataFrame, path: str, frame: str = "frame_id", frames_per_file: int = 20_000, mode: str = "overwrite"
+    df: DataFrame, path: str, frame: str = "frame_id", frames_per_file: int = 20_000, mode: str = "overwrite",
+    options: dict[str, str] | None = None,
 ) -> None:
     """Parquet partitioned by match, in files of a block of frames each.
 
@@ -18,7 +19,7 @@ def write_by_match(
     blocked = df.withColumn("_block", F.floor(F.col(frame) / frames_per_file))
     # Unlike a plain repartition, adaptive execution may split the large partitions of this one.
     spread = blocked.hint("rebalance", "match_id", "_block").sortWithinPartitions("match_id", frame)
-    spread.drop("_block").write.mode(mode).partitionBy("match_id").parquet(path)
+    spread.drop("_block").write.mode(mode).options(**options or {}).partitionBy("match_id").parquet(path)
 
 
 def as_messages(df: DataFrame, columns: list[str]) -> DataFrame:
