@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.catalog import streams, tables
+from touchline.catalog import feeds, streams, tables
 from touchline.catalog.tracking_view import match_info
 from touchline.operators import events, frames, nearest, quality, shape
 from touchline.operators.runs import value_runs
@@ -483,4 +483,4 @@ def _tuned(query):
 
 
 def all_queries():
-    return {query.__name__: _tuned(query) for query in (*_PLAIN, *streams.QUERIES)}
+    return {query.__name__: _tuned(query) for query in (*_PLAIN, *feeds.QUERIES, *streams.QUERIES)}
