@@ -1,12 +1,13 @@
 """Operators within one frame: ball anchor, fill-down, ball carrier and frame-wide values.
 
-Every operator here is a partial aggregate per frame joined back to the rows, so a frame
-that holds very many rows is combined before the shuffle and its join is split at run time.
+Most operators here are a partial aggregate per frame joined back to the rows, so a frame
+that holds very many rows is combined before the shuffle and its join is split at run time;
+``fill_down`` is a window, which reads its rows once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.geometry import distance, is_finite
@@ -37,17 +38,17 @@ def filled(name: str, ball_field: str) -> Column:
 
 
 def fill_down(rows: DataFrame) -> DataFrame:
-    """The ball row's possession and status, where present, hold for the whole frame."""
-    return (
-        with_ball(rows)
-        .withColumns(
-            {
-                "ball_possession": filled("ball_possession", "possession"),
-                "ball_status": filled("ball_status", "status"),
-            }
-        )
-        .select(*rows.columns)
-    )
+    """The ball row's possession and status, where present, hold for the whole frame.
+
+    A window over the frame: the rows are read once and dealt by frame, and what follows per frame needs no other exchange.
+    """
+    ball = F.min(F.when(F.col("team_id") == BALL, first_ball("x", "y"))).over(Window.partitionBy(*KEYS))
+    return rows.withColumn("_ball", ball).withColumns(
+        {
+            "ball_possession": filled("ball_possession", "possession"),
+            "ball_status": filled("ball_status", "status"),
+        }
+    ).select(*rows.columns)
 
 
 def located(*extra: str) -> Column:

@@ -21,13 +21,6 @@ def block_of(order: str, width: int) -> Column:
     return F.floor(F.col(order) / width)
 
 
-def _null_safe(left: str, right: str, names: list[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return condition
-
-
 def consecutive_runs(
     rows: DataFrame, keys: list[str], order: str, partials: dict[str, Column], merges: dict[str, Column],
     width: int = BLOCK,
@@ -96,27 +89,24 @@ def value_runs(
 def running_totals(
     rows: DataFrame, keys: list[str], order: str, totals: dict[str, Column], width: int = BLOCK
 ) -> DataFrame:
-    """Adds inclusive running sums per key in the order of ``order``; NULL counts as nothing."""
-    blocked = rows.withColumn("_block", block_of(order, width))
-    sums = [F.sum(value).alias(f"_sum_{name}") for name, value in totals.items()]
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocked.groupBy(*keys, "_block").agg(*sums)
-        .select(
-            *keys, "_block",
-            *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in totals],
-        )
-    )
-    local = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = blocked.alias("l").join(
-        offsets.alias("r"), _null_safe("l", "r", keys) & (F.col("l._block") == F.col("r._block"))
-    ).select("l.*", *[f"r._before_{n}" for n in totals])
-    return joined.select(
+    """Adds inclusive running sums per key in the order of ``order``; NULL counts as nothing.
+
+    ``rows`` are read once: the first row of each block carries the block's sums, these rows alone meet by key, and each block takes what
+    came before it from its first row.
+    """
+    by_block = Window.partitionBy(*keys, "_block")
+    local = by_block.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    first = F.row_number().over(by_block.orderBy(order)) == 1
+    # Rows that begin no block stay with their block.
+    blocks = Window.partitionBy(*keys, "_chain").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {f"_sum_{n}": F.sum(value).over(by_block) for n, value in totals.items()}
+    within = {f"_local_{n}": F.coalesce(F.sum(value).over(local), F.lit(0)) for n, value in totals.items()}
+    summed = rows.withColumn("_block", block_of(order, width)).withColumns({**sums, **within, "_first": first})
+    chained = summed.withColumn("_chain", F.when(~F.col("_first"), F.col("_block")))
+    before = chained.withColumns({f"_before_{n}": F.when(F.col("_first"), F.sum(f"_sum_{n}").over(blocks)) for n in totals})
+    return before.select(
         *rows.columns,
-        *[
-            (F.coalesce(F.sum(value).over(local), F.lit(0)) + F.col(f"_before_{name}")).alias(name)
-            for name, value in totals.items()
-        ],
+        *[(F.col(f"_local_{n}") + F.coalesce(F.max(f"_before_{n}").over(by_block), F.lit(0))).alias(n) for n in totals],
     )
 
 
@@ -126,19 +116,18 @@ def previous_values(
 ) -> DataFrame:
     """Adds each row's previous value per key (``new name -> column``).
 
-    Beyond a jump of more than ``max_gap`` in the order the previous values are NULL.
+    Beyond a jump of more than ``max_gap`` in the order the previous values are NULL. ``rows`` are read once: the first row of each
+    block carries the block's last values, and these rows alone meet by key.
     """
-    blocked = rows.withColumn("_block", block_of(order, width))
     kept = F.struct(F.col(order).alias("_at"), *[F.col(c).alias(n) for n, c in values.items()])
     by_block = Window.partitionBy(*keys, "_block").orderBy(order)
-    last = blocked.groupBy(*keys, "_block").agg(F.max_by(kept, F.col(order)).alias("_last"))
-    carried = last.select(
-        *keys, "_block", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_block")).alias("_carried")
-    ).filter(F.col("_carried").isNotNull())
-    joined = blocked.alias("l").join(
-        carried.alias("r"), _null_safe("l", "r", keys) & (F.col("l._block") == F.col("r._block")), "left"
-    ).select("l.*", "r._carried")
-    previous = joined.withColumn("_previous", F.coalesce(F.lag(kept).over(by_block), F.col("_carried")))
+    whole = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inside = rows.withColumn("_block", block_of(order, width)).withColumns(
+        {"_previous": F.lag(kept).over(by_block), "_last": F.last(kept).over(whole), "_first": F.row_number().over(by_block) == 1}
+    )
+    blocks = Window.partitionBy(*keys, "_chain").orderBy("_block")
+    chained = inside.withColumn("_chain", F.when(~F.col("_first"), F.col("_block")))
+    previous = chained.withColumn("_previous", F.when(F.col("_first"), F.lag("_last").over(blocks)).otherwise(F.col("_previous")))
     usable = F.col("_previous").isNotNull()
     if max_gap is not None:
         usable = usable & (F.col(order) - F.col("_previous._at") <= max_gap)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline import schemas
@@ -37,16 +37,26 @@ def offside_lines(rows: DataFrame, k: int = OFFSIDE_LINE_INDEX) -> DataFrame:
 
 
 def frame_summary(silver: DataFrame, k: int = OFFSIDE_LINE_INDEX) -> DataFrame:
-    """One row per active frame: possessing team, opponent, ball speed and both offside lines."""
-    rows = active(silver)
-    is_ball = F.col("team_id") == schemas.BALL
-    facts = rows.groupBy(*FRAME).agg(
+    """One row per active frame: possessing team, opponent, ball speed and both offside lines.
+
+    One pass: rows are ranked within the own and the other side of their frame, and one aggregate takes the rows of rank ``k`` beside
+    the rest of the frame's values. Rows that were filled down are dealt by frame already; both steps then go on without an exchange.
+    """
+    is_ball, own = F.col("team_id") == schemas.BALL, F.coalesce(_team_has_ball(), F.lit(False))
+    placed = ~is_ball & F.col("ball_possession").isNotNull() & F.col("x_norm").isNotNull()
+    sided = active(silver).withColumn("_side", F.when(placed, F.when(own, "own").otherwise("other")))
+    rank = F.row_number().over(Window.partitionBy(*FRAME, "_side").orderBy("x_norm"))
+
+    def line(side: str) -> Column:
+        return F.max(F.when((F.col("_side") == side) & (F.col("_rank") == k + 1), F.col("x_norm")))
+
+    opponent = ~is_ball & F.col("ball_possession").isNotNull() & ~own
+    return sided.withColumn("_rank", rank).groupBy(*FRAME).agg(
         F.max("ball_possession").alias("team_id"),
+        F.max(F.when(opponent, F.col("team_id"))).alias("opponent_id"),
         F.max(F.when(is_ball, F.col("speed"))).alias("ball_speed"),
-        F.max(F.when(~is_ball & ~_team_has_ball(), F.col("team_id"))).alias("opponent_id"),
-    )
-    return facts.join(offside_lines(rows, k), FRAME, "left").select(
-        *FRAME, "team_id", "opponent_id", "ball_speed", "offside_line", "opponent_offside_line"
+        line("own").alias("offside_line"),
+        line("other").alias("opponent_offside_line"),
     )
 
 
