@@ -373,14 +373,18 @@ def test_permutation(rows):
     assert sorted(there.tolist()) == list(range(rows)) and (p.number(there) == np.arange(rows)).all()
 
 
-def test_blocks_count_what_sets_share_and_join_components():
-    rng = np.random.default_rng(5)
-    base = rng.integers(0, 1 << 62, 20_000, dtype=np.uint64)
-    sets = [np.unique(rng.choice(base[: 200 * (i % 3 + 1)], 150)) for i in range(12)] + [np.unique(base), np.unique(base[30:])]
-    places = np.arange(len(sets))
-    both = jaccard._shared(sets, places, places)
-    assert both.tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
-    part = pd.DataFrame({"node": places, "component": places, "block": 0, "i": 0, "j": 0, "found": [s.tobytes() for s in sets]})
-    assert jaccard._tied(part).to_numpy().tolist() == [[12, 13]]
-    part["component"] = 0
-    assert jaccard._tied(part).empty
+def test_bitmaps_allow_every_link():
+    draw = np.random.default_rng(3)
+    base = np.unique(draw.integers(0, 2**64, 300, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([base[draw.random(300) > lost], draw.integers(0, 2**64, 10, dtype=np.uint64)])) for lost in np.linspace(0, 0.6, 40)]
+    bits, size = jaccard.bitmaps(sets), np.array([len(s) for s in sets])
+    fits = jaccard.possible(bits, bits, size, size)
+    both = np.array([[len(np.intersect1d(x, y)) for y in sets] for x in sets])
+    jaccards = both / (size[:, None] + size - both)
+    assert fits[jaccards >= 0.8].all() and not fits[jaccards < 0.7].any() and (jaccards < 0.7).any()
+    shared = jaccard._shared(sets, np.arange(40), np.arange(40))
+    assert (shared == both).all()
+    nodes = [{"node": i, "component": i // 2, "size": int(size[i]), "bits": bits[i].tobytes()} for i in range(40)]
+    part = pd.DataFrame({"block": [0], "i": [0], "j": [0], "nodes": [nodes]})
+    pairs = {tuple(p) for p in jaccard._allowed(part).to_numpy().tolist()}
+    assert pairs == {(i, j) for i in range(40) for j in range(i + 1, 40) if fits[i, j] and i // 2 != j // 2}

@@ -15,10 +15,11 @@ In order of the ranges a set signs those with two elements or more, until their
 Work. Texts equal up to white space are one node first. Signatures are shuffled once; only those that several nodes share go on.
 Each bucket has a centre, its node with the largest buckets in all, which in a group of near copies is the text they stem from. (1) A node and
 the centre it shares most with are verified if they share many, and components are formed: this joins a large group by as many pairs as it has nodes.
-(2) Nodes that share some signatures with their centre form families with it. A family is compared in blocks, as products of 0/1
-matrices, where its nodes are in different components; no pair becomes a row. (3) Buckets whose members are still in different components and
-families give the pairs whose sizes fit; a pair that shares as many signatures as a linked pair must is verified. Verification compares whole sets,
-exactly.
+(2) Nodes that share some signatures with their centre form families with it. The nodes of a family in different components are compared in blocks by
+bitmaps of ``BITS`` bits, into which each set hashes its elements: sets differ in at least as many elements as their bitmaps in bits. Only pairs that this bound
+and their sizes allow become rows. (3) Buckets whose members are still in different components and
+families give the pairs whose sizes fit; a pair that shares as many signatures as a linked pair must, and passes the bound of the bitmaps, goes on. Pairs
+of (2) and (3) are verified by whole sets, exactly.
 
 Rows without words have size 0 and are components of their own. A null ``doc_id`` takes part; its component is the smallest id in reach, or
 null if there is none. Repeated rows are one node. An empty table gives an empty result.
@@ -45,12 +46,14 @@ SHINGLE = 5
 BAND_GROWTH = 1.5625
 #: Nodes of a block in verification.
 BLOCK = 128
+#: Bits of a set's bitmap, and nodes whose bitmaps are compared together.
+BITS, WIDE = 2048, 1024
 #: Elements looked at together when a block is verified.
 ELEMENTS = 8192
 #: Share of a node's signatures that makes a pair worth a look in the first pass; it decides no link.
 LIKELY = 0.45
 #: Share of its signatures that a pair needs to be of one family.
-FAMILY = 0.25
+FAMILY = 0.1
 _SHORT = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -167,6 +170,23 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return made[order], part_set[of][order]
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of ``BITS`` bits for each set."""
+    owner = np.repeat(np.arange(len(sets)), [len(found) for found in sets])
+    place = (mixed(np.concatenate([*sets, np.empty(0, np.uint64)])) % np.uint64(BITS)).astype(np.int64)
+    bits = np.zeros((len(sets), BITS), dtype=bool)
+    bits[owner, place] = True
+    return np.packbits(bits, axis=1)
+
+
+def possible(one: np.ndarray, other: np.ndarray, size: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """Which of all pairs of two blocks of bitmaps and sizes may link."""
+    x, y = (np.unpackbits(b, axis=1).astype(np.float32) for b in (one, other))
+    differ = x.sum(axis=1)[:, None] + y.sum(axis=1) - 2 * (x @ y.T)
+    both = size[:, None] + other_size
+    return (9 * differ <= both) & (5 * np.minimum(size[:, None], other_size) >= 4 * np.maximum(size[:, None], other_size))
+
+
 def _node() -> F.Column:
     """A document by its id and text."""
     return F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")))
@@ -180,7 +200,7 @@ def nodes_of(docs: DataFrame) -> DataFrame:
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """``signature, node, size``; the size stands in the first row of each node and is 0 in the others, a node without words has one row."""
+    """``signature, node, size, bits``; size and bitmap stand in the first row of each node, the others have 0 and none. A node without words has one row."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,12 +212,15 @@ def _signed(texts: DataFrame) -> DataFrame:
                 of = np.concatenate([of, empty])
                 order = np.argsort(of, kind="stable")
                 made, of = np.concatenate([made, np.zeros(len(empty), np.uint64)])[order], of[order]
-                size = np.zeros(len(of), dtype=np.int32)
-                size[np.searchsorted(of, np.arange(len(sets)))] = [len(found) for found in sets]
+                size, first = np.zeros(len(of), dtype=np.int32), np.searchsorted(of, np.arange(len(sets)))
+                size[first] = [len(found) for found in sets]
+                maps = np.full(len(of), -1, dtype=np.int32)
+                maps[first] = np.arange(len(sets))
+                bits = pa.array([b.tobytes() for b in bitmaps(sets)], pa.binary()).take(pa.array(maps, mask=maps < 0))
                 columns = [made.view(np.int64), nodes[words.rows][of], size]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "node", "size"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), bits], ["signature", "node", "size", "bits"])
 
-    return texts.mapInArrow(task, "signature long, node long, size int")
+    return texts.mapInArrow(task, "signature long, node long, size int, bits binary")
 
 
 def _sets(texts: DataFrame, keep: list[str]) -> DataFrame:
@@ -270,39 +293,32 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.groupBy(key).cogroup(keyed.groupBy(key)).applyInPandas(_checked, "a long, b long")
 
 
-def _tied(part: pd.DataFrame) -> pd.DataFrame:
-    """Of two blocks of a family, connections ``a, b`` between nodes of different components that links make."""
-    found = [np.frombuffer(value, np.uint64) for value in part["found"]]
-    rows, columns = (np.flatnonzero(part["block"] == part[side]) for side in "ij")
-    both = _shared(found, rows, columns)
-    size = np.array([len(f) for f in found])
-    link = 100 * both >= 80 * (size[rows][:, None] + size[columns] - both)
-    # The smallest row in reach becomes the label of a row and a column.
-    label, none = np.arange(len(rows)), len(rows)
-    while True:
-        reached = np.where(link, label[:, None], none).min(0, initial=none)
-        lower = np.minimum(label, np.where(link, reached, none).min(1, initial=none))
-        if (lower == label).all():
-            break
-        label = lower
-    held = reached < none
-    ends = pd.DataFrame({"x": np.concatenate([rows[label], rows[reached[held]]]), "y": np.concatenate([rows, columns[held]])})
-    node, component = part["node"].to_numpy(), part["component"].to_numpy()
-    made = pd.DataFrame({"a": node[ends["x"]], "b": node[ends["y"]], "p": component[ends["x"]], "q": component[ends["y"]]})
-    return made[made["p"] != made["q"]].drop_duplicates(["p", "q"])[["a", "b"]]
-
-
-def inside(texts: DataFrame, family: DataFrame, known: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Connections ``a, b`` that link what links connect within families.
-
-    The nodes of a family, ordered by component and size, are cut into blocks of ``BLOCK``. Two blocks are compared as a whole by matrix
-    products in one task, unless they hold a single component or no sizes that fit; only what joins components is returned.
+def _allowed(part: pd.DataFrame) -> pd.DataFrame:
+    """Of two blocks of a family, each one row, the pairs ``a, b`` in different components that may link."""
+    blocks = []
+    for side in "ij":
+        block = part.loc[part["block"] == part[side], "nodes"].iloc[0]
+        node, component, size = (np.array([n[c] for n in block], dtype=np.int64) for c in ("node", "component", "size"))
+        blocks.append((node, component, size, np.stack([np.frombuffer(n["bits"], np.uint8) for n in block])))
+    (a, p, x, one), (b, q, y, other) = blocks
+    fits = possible(one, other, x, y) & (p[:, None] != q)
+    if (part["i"] == part["j"]).iloc[0]:
+        fits = np.triu(fits, 1)
+    row, column = np.nonzero(fits)
+    return pd.DataFrame({"a": a[row], "b": b[column]})
+
+
+def inside(family: DataFrame, known: DataFrame, sizes: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` within families that may link nodes of different components.
+
+    The nodes of a family, ordered by component and size, are cut into blocks of ``WIDE``. A block is one row of bitmaps; two blocks are compared in one
+    task, unless they hold a single component or no sizes that fit.
     """
     placed = family.withColumnRenamed("component", "family").join(known, "node", "left").join(sizes.select("node", "size"), "node")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     counted, _ = numbered(placed, [F.col(c) for c in ("family", "component", "size", "node")], "number")
     starts = counted.groupBy("family").agg(F.min("number").alias("start"))
-    cut = counted.join(starts, "family").withColumn("block", F.floor((F.col("number") - F.col("start")) / BLOCK))
+    cut = counted.join(starts, "family").withColumn("block", F.floor((F.col("number") - F.col("start")) / WIDE))
     cut = checkpointed(cut.select("node", "family", "component", "block", "size"))
     piece = cut.groupBy("family", "block").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("small"), F.max("size").alias("large")
@@ -312,11 +328,10 @@ def inside(texts: DataFrame, family: DataFrame, known: DataFrame, sizes: DataFra
     fit = (F.col("j_large") * 5 >= F.col("i_small") * 4) & (F.col("i_large") * 5 >= F.col("j_small") * 4)
     blocks = left.join(right, "family").where((F.col("i_block") <= F.col("j_block")) & ~single & fit)
     met = blocks.select("family", F.col("i_block").alias("i"), F.col("j_block").alias("j"))
-    met = small_or_whole(checkpointed(met.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))))
-    nodes = small_or_whole(checkpointed(cut.select(F.col("node").alias("member"), "family", "component", "block").join(met.select("family", "block").distinct(), ["family", "block"])))
-    wanted = texts.join(nodes, F.col("node") == F.col("member")).select("node", "family", "component", "block", "text")
-    dealt = _sets(wanted, ["node", "family", "component", "block"]).join(met, ["family", "block"])
-    return dealt.groupBy("family", "i", "j").applyInPandas(_tied, "a long, b long")
+    met = checkpointed(met.withColumn("block", F.explode(F.array_distinct(F.array("i", "j")))))
+    used = cut.join(met.select("family", "block").distinct(), ["family", "block"]).join(bits, "node")
+    packed = used.groupBy("family", "block").agg(F.collect_list(F.struct("node", "component", "size", "bits")).alias("nodes"))
+    return packed.join(met, ["family", "block"]).groupBy("family", "i", "j").applyInPandas(_allowed, "a long, b long")
 
 
 def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -327,6 +342,7 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     weight = F.sum(F.when(F.col("members") > 1, F.col("members")).otherwise(0))
     sizes = held.groupBy("node").agg(F.max("size").alias("size"), weight.alias("weight"))
     sizes = checkpointed(sizes.withColumn("place", F.monotonically_increasing_id()))
+    bits = held.where("size > 0").select("node", "bits")
     buckets = held.where("signature <> 0 and members > 1").select("signature", "node")
     weighed = buckets.join(small_or_whole(sizes.select("node", "weight")), "node")
     central = weighed.withColumn("centre", F.max(F.struct("weight", "node")).over(bucket)["node"])
@@ -336,7 +352,8 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     family = checkpointed(components(best.where(F.col("best.shared") >= FAMILY * signed(F.col("size"))).select("node", "best.centre")))
     likely = best.where(F.col("best.shared") >= LIKELY * signed(F.col("size")))
     first = checkpointed(verified(texts, checkpointed(likely.select(F.col("best.centre").alias("a"), F.col("node").alias("b"), F.lit(True).alias("near")))))
-    first = checkpointed(first.unionByName(inside(texts, family, components(first), sizes)))
+    near = checkpointed(inside(family, components(first), sizes, bits))
+    first = checkpointed(first.unionByName(verified(texts, near.withColumn("near", F.lit(True)))))
     known, kin = components(first), family.withColumnRenamed("component", "family")
     held_by = sizes.join(known, "node", "left").join(kin, "node", "left").select(
         "node", "place", "size", F.coalesce("component", "node").alias("component"), F.coalesce("family", "node").alias("family")
@@ -355,11 +372,25 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     for side in "ab":
         named = sizes.select(F.col("place").alias(f"{side}_place"), F.col("node").alias(side))
         across = across.join(small_or_whole(named), f"{side}_place")
-    near = F.col("shared") >= FAMILY * signed(F.least("a_size", "b_size"))
-    second = verified(texts, checkpointed(across.select("a", "b", near.alias("near"))))
+    for side in "ab":
+        across = across.join(bits.select(F.col("node").alias(side), F.col("bits").alias(f"{side}_bits")), side)
+    second = verified(texts, checkpointed(_unlike(across)))
     return sizes.select("node", "size"), checkpointed(first.unionByName(second))
 
 
+def _unlike(pairs: DataFrame) -> DataFrame:
+    """``a, b, near`` of the pairs whose bitmaps allow a link; none of them makes a family."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("a_bits", "b_bits"))
+            differ = np.unpackbits(x ^ y, axis=1).sum(axis=1, dtype=np.int64)
+            passes = pa.array(9 * differ <= batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy())
+            yield batch.select(["a", "b"]).filter(passes)
+
+    return pairs.mapInArrow(task, "a long, b long").withColumn("near", F.lit(False))
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, node, component_node`` (the last two name the text, not the id)."""
     nodes = nodes_of(docs)
