@@ -1,7 +1,7 @@
 """Tracking rows derived from the ``orders`` and ``lineitem`` tables.
 
-Eighteen consecutive orders make a frame of three matches: the first three are the balls,
-the lines of all of them the players and referees.
+Eighteen consecutive order keys make a frame of three matches: the six orders of a match are its ball, with the place of the dearest of
+them, and the lines of all of them the players and referees.
 """
 
 from __future__ import annotations
@@ -52,27 +52,27 @@ def _players(lines: DataFrame) -> DataFrame:
 
 
 def _balls(orders: DataFrame) -> DataFrame:
+    """One ball per match and frame from all of its orders; it is in play if one of them has the lowest priority."""
     price = _hundredths("o_totalprice")
-    return orders.filter(F.col("o_orderkey") % ORDERS_PER_FRAME < 3).select(
-        (F.col("o_orderkey") % 3).alias("m"),
-        _frame("o_orderkey").alias("f"),
-        F.lit("BALL").alias("role"),
-        F.lit(0).cast("bigint").alias("slot"),
-        _x(price).alias("xc"),
-        _y(price).alias("yc"),
-        (F.floor("o_totalprice") % 30).alias("q"),
-        F.when(F.col("o_orderpriority").startswith("1"), 0).otherwise(1).alias("ball_status"),
+    entity = orders.select(
+        (F.col("o_orderkey") % 3).alias("m"), _frame("o_orderkey").alias("f"), price.alias("c"), (F.floor("o_totalprice") % 30).alias("q"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+    )
+    ball = entity.groupBy("m", "f").agg(F.max("c").alias("c"), F.max("q").alias("q"), F.max("priority").alias("priority"))
+    return ball.select(
+        "m", "f", F.lit("BALL").alias("role"), F.lit(0).cast("bigint").alias("slot"), _x(F.col("c")).alias("xc"), _y(F.col("c")).alias("yc"), "q",
+        F.when(F.col("priority") < 5, 0).otherwise(1).alias("ball_status"),
     )
 
 
 def _possessions(orders: DataFrame) -> DataFrame:
-    """Possession code of each match for eight frames at a time."""
+    """Possession code of each match for eight frames at a time: the status that most of their orders have, ties to the home team."""
     status = F.col("o_orderstatus")
-    return orders.filter(F.col("o_orderkey") % ORDERS_PER_POSSESSION < 3).select(
-        (F.col("o_orderkey") % 3).alias("m"),
-        F.floor(F.col("o_orderkey") / ORDERS_PER_POSSESSION).alias("phase"),
-        F.when(status == "F", 1).when(status == "O", 2).otherwise(0).alias("poss"),
+    count = orders.groupBy((F.col("o_orderkey") % 3).alias("m"), F.floor(F.col("o_orderkey") / ORDERS_PER_POSSESSION).alias("phase")).agg(
+        *[F.count_if(status == code).alias(code) for code in "FOP"]
     )
+    home, guest = (F.col("F") >= F.col("O")) & (F.col("F") >= F.col("P")), F.col("O") >= F.col("P")
+    return count.select("m", "phase", F.when(home, 1).when(guest, 2).otherwise(0).alias("poss"))
 
 
 def tracking(spark: SparkSession, folder: str) -> DataFrame:
