@@ -386,6 +386,6 @@ def test_bitmaps_allow_every_link():
     # Elements of a single set are left out, so a set with itself is not counted whole.
     assert (shared == both)[~np.eye(40, dtype=bool)].all()
     nodes = [{"node": i, "component": i // 2, "size": int(size[i]), "bits": bits[i].tobytes()} for i in range(40)]
-    part = pd.DataFrame({"block": [0], "i": [0], "j": [0], "nodes": [nodes]})
-    pairs = {tuple(p) for p in jaccard._allowed(part).to_numpy().tolist()}
+    part = pd.DataFrame({"family": [7], "block": [0], "i": [0], "j": [0], "nodes": [nodes]})
+    pairs = {tuple(p[:2]) for p in jaccard._allowed(part).to_numpy().tolist()}
     assert pairs == {(i, j) for i in range(40) for j in range(i + 1, 40) if fits[i, j] and i // 2 != j // 2}

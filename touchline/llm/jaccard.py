@@ -17,8 +17,8 @@ Each bucket has a centre, its node with the largest buckets in all, which in a g
 the centre it shares most with are verified if they share many, and components are formed: this joins a large group by as many pairs as it has nodes.
 (2) Nodes that share some signatures with their centre form families with it. The nodes of a family in different components are compared in blocks by
 bitmaps of ``BITS`` bits, into which each set hashes its elements: sets differ in at least as many elements as their bitmaps in bits. Only pairs that this bound
-and their sizes allow become rows. (3) Buckets whose members are still in different components and
-families give the pairs whose sizes fit; a pair that shares as many signatures as a linked pair must, and passes the bound of the bitmaps, goes on. Pairs
+and their sizes allow become rows. (3) Buckets whose members are of different families
+give the pairs whose sizes fit; a pair that shares as many signatures as a linked pair must, and passes the bound of the bitmaps, goes on. Pairs
 of (2) and (3) are verified by whole sets, exactly.
 
 Rows without words have size 0 and are components of their own. A null ``doc_id`` takes part; its component is the smallest id in reach, or
@@ -270,14 +270,13 @@ def _checked(sets: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
 
 
 def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes that link; ``near`` tells which of the pairs make families.
+    """The pairs ``a, b`` of nodes that link; pairs of one ``kin`` are likely to share nodes.
 
-    The nodes of all pairs, ordered by their families (components of the near pairs), are cut into blocks of ``BLOCK`` nodes, and
+    The nodes of all pairs, ordered by their kin, are cut into blocks of ``BLOCK`` nodes, and
     each set travels once to every pair of blocks in which it is needed. So a task holds two blocks of sets at most, and a set goes to few tasks.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    family = components(pairs.where("near").select("a", "b"))
-    placed = ends.join(family, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ends = pairs.select("kin", F.explode(F.array("a", "b")).alias("node"))
+    placed = ends.groupBy("node").agg(F.min("kin").alias("component"))
     counted, _ = numbered(placed, [F.col("component"), F.col("node")], "number")
     blocks = small_or_whole(checkpointed(counted.select("node", F.floor(F.col("number") / BLOCK).alias("block"))))
     sides = pairs.select("a", "b")
@@ -294,7 +293,7 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _allowed(part: pd.DataFrame) -> pd.DataFrame:
-    """Of two blocks of a family, each one row, the pairs ``a, b`` in different components that may link."""
+    """Of two blocks of a family, each one row, the pairs ``a, b`` in different components that may link; their kin is the family."""
     blocks = []
     for side in "ij":
         block = part.loc[part["block"] == part[side], "nodes"].iloc[0]
@@ -305,11 +304,11 @@ def _allowed(part: pd.DataFrame) -> pd.DataFrame:
     if (part["i"] == part["j"]).iloc[0]:
         fits = np.triu(fits, 1)
     row, column = np.nonzero(fits)
-    return pd.DataFrame({"a": a[row], "b": b[column]})
+    return pd.DataFrame({"a": a[row], "b": b[column], "kin": part["family"].iloc[0]})
 
 
 def inside(family: DataFrame, known: DataFrame, sizes: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` within families that may link nodes of different components.
+    """Pairs ``a, b, kin`` within families that may link nodes of different components.
 
     The nodes of a family, ordered by component and size, are cut into blocks of ``WIDE``. A block is one row of bitmaps; two blocks are compared in one
     task, unless they hold a single component or no sizes that fit.
@@ -331,7 +330,7 @@ def inside(family: DataFrame, known: DataFrame, sizes: DataFrame, bits: DataFram
     met = checkpointed(met.withColumn("block", F.explode(F.array_distinct(F.array("i", "j")))))
     used = cut.join(met.select("family", "block").distinct(), ["family", "block"]).join(bits, "node")
     packed = used.groupBy("family", "block").agg(F.collect_list(F.struct("node", "component", "size", "bits")).alias("nodes"))
-    return packed.join(met, ["family", "block"]).groupBy("family", "i", "j").applyInPandas(_allowed, "a long, b long")
+    return packed.join(met, ["family", "block"]).groupBy("family", "i", "j").applyInPandas(_allowed, "a long, b long, kin long")
 
 
 def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -351,35 +350,31 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     best = checkpointed(best.join(sizes, "node").select("node", "best", "size"))
     family = checkpointed(components(best.where(F.col("best.shared") >= FAMILY * signed(F.col("size"))).select("node", "best.centre")))
     likely = best.where(F.col("best.shared") >= LIKELY * signed(F.col("size")))
-    first = checkpointed(verified(texts, checkpointed(likely.select(F.col("best.centre").alias("a"), F.col("node").alias("b"), F.lit(True).alias("near")))))
-    near = checkpointed(inside(family, components(first), sizes, bits))
-    first = checkpointed(first.unionByName(verified(texts, near.withColumn("near", F.lit(True)))))
-    known, kin = components(first), family.withColumnRenamed("component", "family")
-    held_by = sizes.join(known, "node", "left").join(kin, "node", "left").select(
-        "node", "place", "size", F.coalesce("component", "node").alias("component"), F.coalesce("family", "node").alias("family")
-    )
+    first = checkpointed(verified(texts, checkpointed(likely.select(F.col("best.centre").alias("a"), F.col("node").alias("b"), F.col("best.centre").alias("kin")))))
+    near = inside(family, components(first), sizes, bits)
+    # Whatever the first pass linked is of one family.
+    kin = family.withColumnRenamed("component", "family")
+    held_by = sizes.join(kin, "node", "left").select("node", "place", "size", F.coalesce("family", "node").alias("family"))
     placed = buckets.join(small_or_whole(checkpointed(held_by)), "node").drop("node")
-    apart = {f"{end}_{c}": f(c).over(bucket) for c in ("component", "family") for end, f in (("low", F.min), ("high", F.max))}
-    split = placed.withColumns(apart).where("low_component < high_component and low_family < high_family")
-    left, right = (split.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "component", "family", "size")]) for side in "ab")
-    fit = (F.col("a_component") < F.col("b_component")) & (F.col("a_family") != F.col("b_family"))
-    fit &= (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
+    split = placed.withColumns({"low": F.min("family").over(bucket), "high": F.max("family").over(bucket)}).where("low < high")
+    left, right = (split.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "family", "size")]) for side in "ab")
+    fit = (F.col("a_family") < F.col("b_family")) & (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
     across = left.join(right, "signature").where(fit).groupBy("a_place", "b_place")
     odd = F.col("signature").bitwiseAND(F.lit(1))
     ends = [F.max(f"{side}_size").alias(f"{side}_size") for side in "ab"]
     across = across.agg(F.greatest(F.sum(odd), F.sum(1 - odd)).alias("shared"), *ends)
     across = across.where(F.col("shared") >= least_shared(F.least("a_size", "b_size"), F.greatest("a_size", "b_size")))
+    named = small_or_whole(sizes.select("place", "node"))
     for side in "ab":
-        named = sizes.select(F.col("place").alias(f"{side}_place"), F.col("node").alias(side))
-        across = across.join(small_or_whole(named), f"{side}_place")
+        across = across.join(named.toDF(f"{side}_place", side), f"{side}_place")
     for side in "ab":
-        across = across.join(bits.select(F.col("node").alias(side), F.col("bits").alias(f"{side}_bits")), side)
-    second = verified(texts, checkpointed(_unlike(across)))
+        across = across.join(bits.toDF(side, f"{side}_bits"), side)
+    second = verified(texts, checkpointed(near.unionByName(_unlike(across))))
     return sizes.select("node", "size"), checkpointed(first.unionByName(second))
 
 
 def _unlike(pairs: DataFrame) -> DataFrame:
-    """``a, b, near`` of the pairs whose bitmaps allow a link; none of them makes a family."""
+    """``a, b, kin`` of the pairs whose bitmaps allow a link."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,7 +383,7 @@ def _unlike(pairs: DataFrame) -> DataFrame:
             passes = pa.array(9 * differ <= batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy())
             yield batch.select(["a", "b"]).filter(passes)
 
-    return pairs.mapInArrow(task, "a long, b long").withColumn("near", F.lit(False))
+    return pairs.mapInArrow(task, "a long, b long").withColumn("kin", F.least("a", "b"))
 
 
 def grouped(docs: DataFrame) -> DataFrame:
