@@ -193,6 +193,9 @@ def test_quality_cutoffs_keep_good_documents(spark):
     labels = spark.createDataFrame([(i, int(i < 2000), 0) for i in range(2030)], "doc_id long, quality int, toxic int")
     found = quality.judged(corpus.frame(spark, clean + marked), labels)
     assert found.where("kept").count() == 2000 and found.where("doc_id >= 2000 and kept").count() == 0
+    # Copies of one text are one trial, too few for any cutoff.
+    copies = corpus.frame(spark, [(i, corpus.BASE + " " * (i % 7), "en", "s") for i in range(2000)])
+    assert quality.cutoffs(quality.measured(copies), labels).select("symbols_per_word_cut").first()[0] is None
     few = labels.where("doc_id < 20")
     assert quality.cutoffs(quality.measured(corpus.frame(spark, clean[:50])), few).select("symbols_per_word_cut").first()[0] is None
 

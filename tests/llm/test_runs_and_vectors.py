@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus  # noqa: E402
-from touchline.llm import hard_negatives, jaccard, metric_join, periodic, pieces, recompression  # noqa: E402
+from touchline.llm import hard_negatives, jaccard, license, metric_join, periodic, pieces, recompression, warc  # noqa: E402
 from touchline.llm import words as word_arrays  # noqa: E402
 
 
@@ -228,3 +229,21 @@ def test_trees_are_packed_and_prune():
     tree.search(block, 3, same=False)
     scores = vectors[:500].sum(axis=1)
     assert block.found[0, 0].tolist() == np.argsort(-scores, kind="stable")[:3].tolist() and sum(met) < 300
+
+
+@pytest.mark.parametrize("piece", ["<title>", "<a ", "<script", "<a href=", "<a href='", "<!--", "<p ", "</"])
+def test_unclosed_markup_takes_time_in_proportion(piece):
+    page = piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    warc.plain_text(page), warc.title_of(page), warc.outlinks(page)
+    assert time.perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("piece", ["cc by ", "all rights reserved ", "SPDX-License-Identifier: MIT OR ", "SPDX-License-Identifier: ("])
+def test_many_notices_take_time_in_proportion(piece):
+    text = piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    found = license.scanned(text, license.automaton())
+    assert time.perf_counter() - start < 10
+    if piece == "all rights reserved ":
+        assert found[1:4] == (50_000, 0, 3 * 49_999)

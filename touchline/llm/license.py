@@ -149,10 +149,15 @@ def scanned(text: str | None, phrases: ahocorasick.Automaton) -> tuple:
     base: set[str] = set()
     labels: set[str] = set()
     tagged = False
+    # Spaces are counted on (or back) from the last place, so a text of many notices is read once.
+    at, spaces = 0, 0
     for end, phrase in phrases.iter(line):
         if phrase in BASE:
             base.add(BASE[phrase])
-            places.append(line.count(" ", 0, end - len(phrase)) - 1)
+            start = end - len(phrase)
+            spaces += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
+            at = start
+            places.append(spaces - 1)
         tagged = tagged or phrase == TAG
         if phrase in NOTICES:
             labels.add(NOTICES[phrase])

@@ -48,7 +48,7 @@ win AS (SELECT doc_id, i, array_to_string(words[i:i + {w - 1}], ' ') AS win FROM
 rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM win) WHERE n > 1),
 cov AS (SELECT doc_id, sum(least({w}, coalesce(nxt - i, {w}))) AS n FROM
   (SELECT *, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM rep) GROUP BY doc_id),
-f AS (SELECT d.doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+f AS (SELECT d.doc_id, stratum, array_to_string(words, ' ') AS copy, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
   CAST(len(regexp_extract_all(text, '{quality.SYMBOLS}')) AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
   CAST(len(lines) AS BIGINT) AS n_lines FROM d LEFT JOIN cov USING (doc_id)),
@@ -56,7 +56,8 @@ m AS (SELECT *, CASE WHEN n_words > 0 THEN CAST(n_symbols AS DOUBLE) / n_words E
   CASE WHEN n_lines > 0 THEN CAST(n_dup_lines AS DOUBLE) / n_lines ELSE 0 END AS dup_line_share,
   CASE WHEN n_words > 0 THEN CAST(n_repeat_words AS DOUBLE) / n_words ELSE 0 END AS repeat_share,
   CASE WHEN n_words > 0 THEN CAST(word_chars AS DOUBLE) / n_words ELSE 0 END AS mean_word_chars FROM f),
-good AS (SELECT m.* FROM m JOIN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) > 0) USING (doc_id)),
+good AS (SELECT DISTINCT ON (stratum, copy) m.* FROM m JOIN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) > 0) USING (doc_id)
+  ORDER BY stratum, copy, doc_id),
 g AS ({grids}),
 c AS (SELECT rule, stratum, cut, count(*) AS n, count(*) FILTER (metric > cut) AS k FROM g GROUP BY rule, stratum, cut),
 p AS (SELECT *, CASE WHEN k < n * {rate!r} THEN list_sum([exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1)

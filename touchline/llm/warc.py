@@ -27,30 +27,80 @@ DATE = "2024-01-01T00:00:00Z"
 HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
+_DROPPED = re.compile(r"<!--|<(script|style|title|template|noscript)\b", re.I)
+_COMMENT = re.compile(r"<!--")
+_CLOSED = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "title", "template", "noscript")}
+_TITLE = re.compile(r"<title\b", re.I)
 _BREAK = re.compile(r"<(?:/?(?:p|div|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|blockquote|pre)|br|hr)\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z!][^>]*>")
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ANCHOR = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 _BLANK = re.compile(r"[ \t\r\f\v\xa0]+")
 
 
+def without_hidden(page: str) -> str:
+    """The page without comments and without elements that are not shown; one that is never closed reaches to the end.
+
+    Every step goes on where the last one ended, so the work is in proportion to the page.
+    """
+    parts, pos, opens = [], 0, _DROPPED
+    while found := opens.search(page, pos):
+        if opens is _COMMENT or found[1] is None:
+            start, close = found.start(), page.find("-->", found.end())
+            end = close + 3
+        else:
+            start, tag = found.start(), page.find(">", found.end())
+            if tag < 0:
+                # No later tag ends either; only comments are left to look for.
+                parts.append(page[pos : found.end()])
+                pos, opens = found.end(), _COMMENT
+                continue
+            closed = _CLOSED[found[1].lower()].search(page, tag + 1)
+            close, end = (-1, 0) if closed is None else (closed.start(), closed.end())
+        parts += [page[pos:start], " "]
+        if close < 0:
+            return "".join(parts)
+        pos = end
+    return "".join([*parts, page[pos:]])
+
+
 def plain_text(page: str) -> str:
     """Visible text, a line for each block, without markup, scripts and comments."""
-    page = _DROPPED.sub(" ", page).replace("\n", " ")
-    page = html.unescape(_TAG.sub("", _BREAK.sub("\n", page)))
+    page = without_hidden(page).replace("\n", " ")
+    # Behind the last bracket no tag ends.
+    last = page.rfind(">") + 1
+    page = html.unescape(_TAG.sub("", _BREAK.sub("\n", page[:last])) + page[last:])
     lines = (line.strip() for line in _BLANK.sub(" ", page).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def title_of(page: str) -> str:
     found = _TITLE.search(page)
-    return " ".join(html.unescape(found[1]).split()) if found else ""
+    tag = page.find(">", found.end()) if found else -1
+    closed = _CLOSED["title"].search(page, tag + 1) if tag >= 0 else None
+    return " ".join(html.unescape(page[tag + 1 : closed.start()]).split()) if closed else ""
+
+
+def _links(page: str) -> Iterator[str]:
+    """Values of the first ``href`` of each anchor tag."""
+    pos = 0
+    while found := _ANCHOR.search(page, pos):
+        pos = page.find(">", found.end())
+        stop = len(page) if pos < 0 else pos
+        named, value = _HREF.search(page, found.end(), stop), None
+        while named and not (value := _VALUE.match(page, named.end())):
+            named = _HREF.search(page, named.end(), stop)
+        if value:
+            yield value[value.lastindex]
+            pos = value.end()
+        elif pos < 0:
+            return
 
 
 def outlinks(page: str) -> list[str]:
     """Link targets in order, each once, white space inside them removed."""
-    links = ("".join(html.unescape("".join(groups)).split()) for groups in _LINK.findall(page))
+    links = ("".join(html.unescape(link).split()) for link in _links(page))
     return list(dict.fromkeys(link for link in links if link))
 
 
