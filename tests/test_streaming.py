@@ -2,6 +2,7 @@ import json
 import time
 
 import pytest
+from pyspark.errors import PySparkException
 from football import frame
 
 from touchline.plans import bronze, gold, raw, silver
@@ -156,7 +157,7 @@ def test_levels_switches_and_counts(spark, tmp_path):
     )
     _run(spark, tmp_path, [], lambda s, cp: levels.start(s, pipeline, cp, interval=None))
     assert pipeline.counts == {"bronze": 288, "grouped": 36}
-    assert {p.name for p in (tmp_path / "out").iterdir()} == {"grouped", "audit", "unknown_matches"}
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"grouped", "audit", "unknown_matches", "ledger"}
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
@@ -166,10 +167,34 @@ def test_unknown_matches_in_strict_mode(spark):
         "value", "timestamp'2023-01-01' as timestamp", "'t' as topic"
     )
     pipeline = levels.LevelPipeline(_info(spark).filter("match_id = 'other'"), topic="t", strict=True)
-    with pytest.raises(levels.UnknownMatches, match="M"):
+    with pytest.raises(PySparkException, match="no metadata for match M"):
         pipeline.process(topic, 0)
 
 
+def test_a_batch_that_breaks_off_between_levels_is_made_up_for(spark, tmp_path):
+    lines = [json.dumps(e) for f in _entities() for e in f]
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox/0.txt").write_text("\n".join(lines))
+    tables = levels.to_tables(str(tmp_path / "out"))
+
+    class Breaking(levels.Tables):
+        def __call__(self, level, rows, batch_id):
+            if level == "grouped":
+                raise ConnectionError("lost between two levels")
+            super().__call__(level, rows, batch_id)
+
+    def run(publish):
+        source = messages.file_messages(spark, str(tmp_path / "inbox"), "t", max_files=None)
+        levels.start(source, levels.LevelPipeline(_info(spark), publish, topic="t"), str(tmp_path / "cp"), interval=None).awaitTermination()
+
+    with pytest.raises(PySparkException, match="lost between two levels"):
+        run(Breaking(str(tmp_path / "out")))
+    assert (tmp_path / "out/silver/batch=0").exists() and not (tmp_path / "out/ledger").exists()
+    run(tables)
+    assert {r.level: r.rows for r in tables.ledger(spark).collect()} == {"bronze": 288, "silver": 288, "grouped": 36, "gold": tables.read(spark, "gold").count()}
+    assert tables.read(spark, "silver").count() == 288 and tables.read(spark, "grouped").count() == 36
+
+
 def test_event_mirror(spark, tmp_path):
     from touchline.streaming import mirror
 

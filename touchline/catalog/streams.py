@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import contextlib
+import re
+
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.catalog.tables import raw_table, work_folder
 from touchline.catalog.tracking_view import match_info
 from touchline.plans import raw
-from touchline.sources import messages
-from touchline.streaming import levels, possessions
+from touchline.sources import messages, sinks
+from touchline.streaming import levels, mirror, possessions
 
 TOPIC = "positions"
 
@@ -40,13 +44,87 @@ def stream_bronze_silver_gold(spark: SparkSession, folder: str) -> DataFrame:
         inbox = _feed(spark, staged, step, work)
         source = messages.file_messages(spark, inbox, TOPIC, max_files=None)
         levels.start(source, pipeline, f"{work}/checkpoint", interval=None).awaitTermination()
-    result = spark.read.parquet(f"{work}/out/gold")
+    result = pipeline.publish.read(spark, "gold")
     return result.select(
         "match_id", "game_section", "team_id", "opponent_id", "possession_id", "cumulative_time",
         "start_frame", "end_frame", "num_frames", "active_frames", "stream_batch_id", "sequence_clipped",
     )
 
 
+def _topic(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """All rows as one batch of messages."""
+    staged = _staged(rows.withColumn("part", F.lit(0)), work_folder(spark))
+    return spark.read.parquet(staged).select("value", F.timestamp_millis(F.lit(0)).alias("timestamp"), F.lit(TOPIC).alias("topic"))
+
+
+def level_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger of a batch of which one level is published and all are built and counted."""
+    pipeline = levels.LevelPipeline(match_info(spark), levels.to_tables(f"{work_folder(spark)}/out"), topic=TOPIC, emit=("grouped",))
+    pipeline.process(_topic(spark, raw_table(spark, folder)), 0)
+    return pipeline.publish.ledger(spark).select("level", "rows", F.col("level").isin(*pipeline.emit).alias("published"))
+
+
+def recovered_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Grouped rows of a batch that broke off after its first levels and was repeated."""
+    work = work_folder(spark)
+    topic = _topic(spark, raw_table(spark, folder))
+    tables = levels.to_tables(f"{work}/out")
+
+    def breaks(level: str, rows: DataFrame, batch_id: int) -> None:
+        if level == "grouped":
+            raise ConnectionError("lost between two levels")
+        tables(level, rows, batch_id)
+
+    with contextlib.suppress(ConnectionError):
+        levels.LevelPipeline(match_info(spark), breaks, topic=TOPIC).process(topic, 0)
+    levels.LevelPipeline(match_info(spark), tables, topic=TOPIC).process(topic, 0)
+    rows = tables.read(spark, "silver").groupBy("match_id", "game_section").agg(F.count("*").alias("silver_rows"))
+    teams = tables.read(spark, "grouped").groupBy("match_id", "game_section").agg(F.count("*").alias("grouped_rows"))
+    return rows.join(teams, ["match_id", "game_section"])
+
+
+def unknown_match_modes(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed with a match of which nothing is known: listed by the audit, and fatal in strict mode."""
+    work = work_folder(spark)
+    topic, info = _topic(spark, raw_table(spark, folder)), match_info(spark, matches=2)
+    warned = levels.to_tables(f"{work}/warn")
+    levels.LevelPipeline(info, warned, topic=TOPIC, build=("bronze",), audit=True).process(topic, 0)
+    try:
+        levels.LevelPipeline(info, levels.to_tables(f"{work}/strict"), topic=TOPIC, build=("bronze",), strict=True).process(topic, 0)
+        outcome = "passed"
+    except PySparkException as failure:
+        outcome = re.search("no metadata for match M[0-9]+", str(failure))[0]
+    listed = warned.read(spark, "unknown_matches").select(F.lit("audit").alias("mode"), F.concat(F.lit("no metadata for match "), "match_id").alias("outcome"))
+    bronze_rows = warned.read(spark, "bronze").agg(F.count("*").cast("string").alias("outcome")).select(F.lit("rows").alias("mode"), "outcome")
+    strict = spark.range(1).select(F.lit("strict").alias("mode"), F.lit(outcome).alias("outcome"))
+    return listed.unionByName(bronze_rows).unionByName(strict)
+
+
+def arrival_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that arrive in the order of a hash, some without a time: rows, and rows before which a later one stands in their partition."""
+    rows = raw_table(spark, folder).select(F.when(F.col("frame_id") % 9 > 0, F.pmod(F.xxhash64("match_id", "frame_id", "team_id"), F.lit(10_000))).alias("_arrival_ms"))
+    placed = sinks.arrival_order(rows).select("_arrival_ms", F.monotonically_increasing_id().alias("place"), F.spark_partition_id().alias("part"))
+    before = F.lag(F.coalesce("_arrival_ms", F.lit(1 << 40))).over(Window.partitionBy("part").orderBy("place"))
+    return placed.withColumn("_before", before).agg(
+        F.count("*").alias("messages"), F.count_if(F.col("_arrival_ms").isNull()).alias("unknown"),
+        F.count_if(F.col("_before") > F.coalesce("_arrival_ms", F.lit(1 << 40))).alias("out_of_order"),
+    )
+
+
+def mirrored_match_information(spark: SparkSession, folder: str) -> DataFrame:
+    """Match information messages, one for every supplier, appended to a raw mirror by a stream."""
+    work = work_folder(spark)
+    key = F.col("s_suppkey").cast("string")
+    team = F.struct(F.concat(F.lit("T"), key).alias("TeamId"), F.array(F.struct(F.concat(F.lit("K"), key).alias("PersonId"))).alias("Players"))
+    document = F.struct(F.struct(F.concat(F.lit("S"), key).alias("MatchId"), F.lit("1").alias("MatchDay")).alias("General"), F.array(team).alias("Teams"))
+    suppliers = spark.read.parquet(f"{folder}/supplier.parquet")
+    suppliers.select(F.to_json(document).alias("value")).write.text(f"{work}/inbox")
+    source = messages.file_messages(spark, f"{work}/inbox", "information", max_files=None)
+    mirror.mirror_match_information(source, f"{work}/out", f"{work}/checkpoint", "information", interval=None).awaitTermination()
+    teams = spark.read.parquet(f"{work}/out").select("General.MatchId", "General.MatchDay", F.explode("Teams").alias("team"))
+    return teams.select(F.col("MatchId").alias("match_id"), F.col("MatchDay").alias("match_day"), "team.TeamId", F.col("team.Players")[0]["PersonId"].alias("person_id")).withColumnRenamed("TeamId", "team_id")
+
+
 def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3, idle: int = 8_000) -> DataFrame:
     """The rows in the order of frames, each part taken up by a restart of the stream; silence closes the last half."""
     work = work_folder(spark)
@@ -68,4 +146,7 @@ def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3
     return possessions.sequences(spark.read.parquet(f"{work}/out"), rounded=False)
 
 
-QUERIES = (stream_bronze_silver_gold, stream_possessions_stateful)
+QUERIES = (
+    stream_bronze_silver_gold, stream_possessions_stateful, level_counts, recovered_levels, unknown_match_modes, arrival_order,
+    mirrored_match_information,
+)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.operators.frames import eligible
+from touchline.operators.lookup import attach, bounded
 from touchline.plans.raw import READ
+from touchline.sources.match_info import one_per_match
 
 
 def unresolved_directions(bronze: DataFrame) -> DataFrame:
@@ -28,6 +30,14 @@ def unknown_matches(rows: DataFrame, info: DataFrame) -> DataFrame:
     return matches.join(known, "match_id", "left_anti")
 
 
+def checked_matches(rows: DataFrame, info: DataFrame) -> DataFrame:
+    """The rows as they are, in a plan that fails at the first row of a match whose home or guest team is not known."""
+    known = one_per_match(info).filter(F.col("home_team_id").isNotNull() & F.col("guest_team_id").isNotNull())
+    joined = attach(rows, bounded(known.select("match_id", F.lit(True).alias("_known"))), ["match_id"])
+    unknown = F.raise_error(F.concat(F.lit("no metadata for match "), "match_id")).cast("boolean")
+    return joined.filter(F.when(F.col("match_id").isNull() | F.coalesce("_known", F.lit(False)), True).otherwise(unknown)).drop("_known")
+
+
 def frames_with_extra_teams(rows: DataFrame) -> DataFrame:
     """Frames with players of more than two teams; pairing uses the two smallest team ids."""
     teams = rows.filter(eligible()).select("match_id", "frame_id", "team_id").distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,17 +26,35 @@ COLUMNS = {
 Publisher = Callable[[str, DataFrame, int], None]
 
 
-class UnknownMatches(ValueError):
-    """Rows of matches without metadata, in strict mode."""
+class Tables:
+    """Parquet per level and batch under a root; a repeated batch replaces its own output.
 
+    ``completed`` enters a batch in the ledger once all its levels are written. ``read`` gives the rows of ledgered batches only, so a stream that was
+    killed between two levels and started anew neither loses nor repeats rows, and a reader never sees half a batch.
+    """
 
-def to_tables(root: str) -> Publisher:
-    """Parquet per level and batch; a repeated batch replaces its own output."""
+    def __init__(self, root: str):
+        self.root = root
 
-    def publish(level: str, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{root}/{level}/batch={batch_id}")
+    def __call__(self, level: str, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/{level}/batch={batch_id}")
 
-    return publish
+    def completed(self, spark: SparkSession, batch_id: int, counts: dict[str, int]) -> None:
+        # The counts come from the batch's own plans; there is one for each level.
+        entry = [(level, rows) for level, rows in counts.items()]
+        self("ledger", spark.createDataFrame(entry, "level string, rows bigint"), batch_id)
+
+    def ledger(self, spark: SparkSession) -> DataFrame:
+        """``level, rows, batch`` of every completed batch."""
+        return spark.read.parquet(f"{self.root}/ledger")
+
+    def read(self, spark: SparkSession, level: str) -> DataFrame:
+        done = self.ledger(spark).select("batch").distinct()
+        return spark.read.parquet(f"{self.root}/{level}").join(done, "batch", "left_semi")
+
+
+def to_tables(root: str) -> Tables:
+    return Tables(root)
 
 
 def to_kafka(servers: str, topics: dict[str, str]) -> Publisher:
@@ -55,7 +73,8 @@ def dry_run(level: str, rows: DataFrame, batch_id: int) -> None:
 class LevelPipeline:
     """Settings of the stateless stream; ``counts`` holds the rows per level of the last batch.
 
-    A level that is switched off is still computed where a later one needs it.
+    A level that is switched off is still computed where a later one needs it. In ``strict`` mode a match without metadata fails the batch
+    from within its own plan; ``audit`` lists such matches and goes on.
     """
 
     info: DataFrame
@@ -76,24 +95,17 @@ class LevelPipeline:
         (self.publish if level in self.emit else dry_run)(level, rows, batch_id)
         self.counts[level] = counted.get["rows"]
 
-    def _check_matches(self, rows: DataFrame, batch_id: int) -> None:
-        """Publishes all unknown matches and fails with their number and the first of them."""
-        unknown = keep(quality.unknown_matches(rows, self.info))
-        found, first = unknown.agg(F.count("*"), F.min("match_id")).first()
-        if found:
-            self.publish("unknown_matches", unknown, batch_id)
-            raise UnknownMatches(f"no metadata for {found} matches, the first is {first}")
-
     def process(self, messages: DataFrame, batch_id: int) -> None:
         with released():
             self._process(messages, batch_id)
+        if isinstance(self.publish, Tables):
+            self.publish.completed(messages.sparkSession, batch_id, self.counts)
 
     def _process(self, messages: DataFrame, batch_id: int) -> None:
         self.counts = {}
         rows = keep(raw.message_positions(messages, self.topic))
-        if self.strict:
-            self._check_matches(rows, batch_id)
-        bronze_rows = keep(bronze.bronze_stream_positions(rows, self.info))
+        known = quality.checked_matches(rows, self.info) if self.strict else rows
+        bronze_rows = keep(bronze.bronze_stream_positions(known, self.info))
         if self.audit:
             self.publish("audit", quality.unresolved_directions(bronze_rows), batch_id)
             self.publish("unknown_matches", quality.unknown_matches(rows, self.info), batch_id)
