@@ -18,7 +18,7 @@ the centre it shares most with are verified if they share many, and components a
 (2) Nodes that share some signatures with their centre form families with it. The nodes of a family in different components are compared in blocks by
 bitmaps of ``BITS`` bits, into which each set hashes its elements: sets differ in at least as many elements as their bitmaps in bits. Only pairs that this bound
 and their sizes allow become rows. (3) Buckets whose members are of different families
-give the pairs whose sizes fit; a pair that shares as many signatures as a linked pair must, and passes the bound of the bitmaps, goes on. Pairs
+give the pairs whose sizes fit (a bucket of more than ``CROWDED`` nodes like a family, in blocks of bitmaps); a pair that shares as many signatures as a linked pair must, and passes the bound of the bitmaps, goes on. Pairs
 of (2) and (3) are verified by whole sets, exactly.
 
 Rows without words have size 0 and are components of their own. A null ``doc_id`` takes part; its component is the smallest id in reach, or
@@ -54,6 +54,8 @@ ELEMENTS = 8192
 LIKELY = 0.45
 #: Share of its signatures that a pair needs to be of one family.
 FAMILY = 0.1
+#: Nodes of a bucket from which on it is compared by bitmaps in blocks, so that its pairs are no rows.
+CROWDED = 128
 _SHORT = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -307,14 +309,12 @@ def _allowed(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a[row], "b": b[column], "kin": part["family"].iloc[0]})
 
 
-def inside(family: DataFrame, known: DataFrame, sizes: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs ``a, b, kin`` within families that may link nodes of different components.
+def inside(placed: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs ``a, b, kin`` within families that may link nodes of different components, for rows ``node, family, component, size``.
 
     The nodes of a family, ordered by component and size, are cut into blocks of ``WIDE``. A block is one row of bitmaps; two blocks are compared in one
     task, unless they hold a single component or no sizes that fit.
     """
-    placed = family.withColumnRenamed("component", "family").join(known, "node", "left").join(sizes.select("node", "size"), "node")
-    placed = placed.withColumn("component", F.coalesce("component", "node"))
     counted, _ = numbered(placed, [F.col(c) for c in ("family", "component", "size", "node")], "number")
     starts = counted.groupBy("family").agg(F.min("number").alias("start"))
     cut = counted.join(starts, "family").withColumn("block", F.floor((F.col("number") - F.col("start")) / WIDE))
@@ -330,7 +330,10 @@ def inside(family: DataFrame, known: DataFrame, sizes: DataFrame, bits: DataFram
     met = checkpointed(met.withColumn("block", F.explode(F.array_distinct(F.array("i", "j")))))
     used = cut.join(met.select("family", "block").distinct(), ["family", "block"]).join(bits, "node")
     packed = used.groupBy("family", "block").agg(F.collect_list(F.struct("node", "component", "size", "bits")).alias("nodes"))
-    return packed.join(met, ["family", "block"]).groupBy("family", "i", "j").applyInPandas(_allowed, "a long, b long, kin long")
+    # Few rows, but much work for each: adaptive execution must not merge them into few tasks.
+    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = packed.join(met, ["family", "block"]).repartition(tasks, "family", "i", "j")
+    return dealt.groupBy("family", "i", "j").applyInPandas(_allowed, "a long, b long, kin long")
 
 
 def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -351,12 +354,16 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     family = checkpointed(components(best.where(F.col("best.shared") >= FAMILY * signed(F.col("size"))).select("node", "best.centre")))
     likely = best.where(F.col("best.shared") >= LIKELY * signed(F.col("size")))
     first = checkpointed(verified(texts, checkpointed(likely.select(F.col("best.centre").alias("a"), F.col("node").alias("b"), F.col("best.centre").alias("kin")))))
-    near = inside(family, components(first), sizes, bits)
-    # Whatever the first pass linked is of one family.
     kin = family.withColumnRenamed("component", "family")
-    held_by = sizes.join(kin, "node", "left").select("node", "place", "size", F.coalesce("family", "node").alias("family"))
-    placed = buckets.join(small_or_whole(checkpointed(held_by)), "node").drop("node")
-    split = placed.withColumns({"low": F.min("family").over(bucket), "high": F.max("family").over(bucket)}).where("low < high")
+    held_by = kin.join(components(first), "node", "left").join(sizes.select("node", "size"), "node")
+    near = inside(held_by.withColumn("component", F.coalesce("component", "node")), bits)
+    # Whatever the first pass linked is of one family.
+    named_by = sizes.join(kin, "node", "left").select("node", "place", "size", F.coalesce("family", "node").alias("family"))
+    placed = buckets.join(small_or_whole(checkpointed(named_by)), "node")
+    spread = {"low": F.min("family").over(bucket), "high": F.max("family").over(bucket), "members": F.count("*").over(bucket)}
+    split = stored(placed.withColumns(spread).where("low < high").drop("low", "high"))
+    near = near.unionByName(inside(_crowded(split), bits))
+    split = split.where(F.col("members") <= CROWDED)
     left, right = (split.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "family", "size")]) for side in "ab")
     fit = (F.col("a_family") < F.col("b_family")) & (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
     across = left.join(right, "signature").where(fit).groupBy("a_place", "b_place")
@@ -369,10 +376,22 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         across = across.join(named.toDF(f"{side}_place", side), f"{side}_place")
     for side in "ab":
         across = across.join(bits.toDF(side, f"{side}_bits"), side)
-    second = verified(texts, checkpointed(near.unionByName(_unlike(across))))
+    second = verified(texts, checkpointed(near.unionByName(_unlike(across)).groupBy("a", "b").agg(F.min("kin").alias("kin"))))
     return sizes.select("node", "size"), checkpointed(first.unionByName(second))
 
 
+def _crowded(split: DataFrame) -> DataFrame:
+    """Buckets of more than ``CROWDED`` nodes as families for ``inside``; of buckets with the same nodes, as a passage makes them, one."""
+    hot = split.where(F.col("members") > CROWDED)
+    same = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"print{seed}") for seed in (1, 2)]
+    prints = hot.groupBy("signature").agg(F.count("*").alias("nodes"), *same)
+    chosen = prints.groupBy("nodes", "print1", "print2").agg(F.min("signature").alias("signature")).select("signature")
+    # A bucket's nodes differ in their families only.
+    return hot.join(chosen, "signature").select("node", F.col("signature").alias("bucket"), "family", "size").withColumnsRenamed(
+        {"family": "component", "bucket": "family"}
+    )
+
+
 def _unlike(pairs: DataFrame) -> DataFrame:
     """``a, b, kin`` of the pairs whose bitmaps allow a link."""
 
