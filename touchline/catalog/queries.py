@@ -186,13 +186,27 @@ def opponent_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def nearest_opponent(spark: SparkSession, folder: str) -> DataFrame:
-    """By the cell search, which serves frames of any size."""
+    """As silver finds it: one shuffle by frame, and the cell search for crowded frames."""
+    found = silver.enrich(_known(spark, folder)).filter(F.col("closest_opponent_id").isNotNull())
+    return found.select(
+        "match_id", "frame_id", "team_id", "person_id", F.col("closest_opponent_id").alias("opponent_id"),
+        F.round("closest_opponent_distance", 3).alias("opponent_distance"),
+    )
+
+
+def nearest_opponent_crowded(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over lines of orders as players in frames of some ten thousands, which take the cell search."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").where("l_returnflag <> 'N'")
+    hundredths = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+    players = lines.select(
+        F.lit("L").alias("match_id"), F.floor(F.col("l_orderkey") / 12_000).alias("frame_id"), F.col("l_returnflag").alias("team_id"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")).alias("person_id"),
+        (hundredths % 10_501).cast("double").alias("x"), (F.floor(hundredths / 7) % 6_801).cast("double").alias("y"),
+    ).distinct()
     keys = ["match_id", "frame_id"]
-    players = _known(spark, folder).filter(frames.eligible()).select(*keys, "team_id", "person_id", "x", "y")
     found = nearest.nearest_by_cells(players, keys, "team_id", "person_id", "x", "y")
-    return found.select(
-        *keys, "team_id", "person_id", F.col("opponent").alias("opponent_id"),
-        F.round("distance", 3).alias("opponent_distance"),
+    return found.groupBy(*keys, "team_id").agg(
+        F.count("*").alias("players"), F.sum(F.round(F.col("distance") * 1000).cast("bigint")).alias("distance_sum"), F.max("opponent").alias("last_opponent")
     )
 
 
@@ -463,7 +477,7 @@ _PLAIN = (
     kickoff_frames, attack_direction, attack_direction_earliest, possession_team,
     bronze_positions, bronze_positions_stream, constant_direction,
     frame_fill_down, target_distance, ball_distance, ball_distance_norm, ball_carrier,
-    opponent_pairs, nearest_opponent, silver_positions, silver_positions_stream,
+    opponent_pairs, nearest_opponent, nearest_opponent_crowded, silver_positions, silver_positions_stream,
     grouped_frames, offside_line, offside_line_deepest, play_state, possession_frames,
     frame_summary, possession_islands, possession_islands_rank,
     gold_possessions, gold_possessions_stream, possession_clock, clipped_sequences,

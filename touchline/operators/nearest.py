@@ -57,7 +57,7 @@ def _nearest_of(side: Column, others: Column, x: str, y: str, person: str) -> Co
 def pair_gathered(
     groups: DataFrame, who: str, x: str, y: str, team: str = "team_id", person: str = "person_id"
 ) -> DataFrame:
-    """Gathered groups back as rows, with the three pair columns.
+    """Gathered groups back as rows, with the pair columns and the nearest opponent's id.
 
     Only the two smallest team ids of a group oppose each other. Each distance is computed once
     per direction and group. The generator at the end keeps later filters above the search:
@@ -109,7 +109,7 @@ def pair_gathered(
         "_row.*",
         F.when(F.col("_mutual"), F.col("_person")).alias("pair_player_id"),
         F.when(F.col("_mutual"), F.col("_d")).alias("pair_player_distance"),
-        F.col("_d").alias("closest_opponent_distance"),
+        F.col("_d").alias("closest_opponent_distance"), F.col("_person").alias("closest_opponent_id"),
     )
 
 
@@ -228,7 +228,7 @@ def nearest_by_cells(players: DataFrame, keys: list[str], team: str, person: str
 def pair_by_cells(
     rows: DataFrame, keys: list[str], who: Column, x: str, y: str, team: str = "team_id", person: str = "person_id"
 ) -> DataFrame:
-    """Adds the three pair columns by the cell search; for groups of any size."""
+    """Adds the pair columns and the nearest opponent's id by the cell search; for groups of any size."""
     players = rows.filter(who).select(*keys, team, person, x, y)
     nearest = nearest_by_cells(players, keys, team, person, x, y)
     at = [*keys, "side", "opponent", "opponent_x", "opponent_y"]
@@ -246,11 +246,13 @@ def pair_by_cells(
         *keys, team, person, F.col("x").alias(x), F.col("y").alias(y),
         F.when(mutual, F.col("opponent")).alias("pair_player_id"),
         F.when(mutual, F.col("distance")).alias("pair_player_distance"),
-        F.col("distance").alias("closest_opponent_distance"),
+        F.col("distance").alias("closest_opponent_distance"), F.col("opponent").alias("closest_opponent_id"),
     )
     # Rows without a place find no partner: their coordinates are NULL or no numbers.
     placed = rows.withColumn("_placed", who)
     joined = placed.alias("l").join(
         result.withColumn("_placed", F.lit(True)).alias("r"), [*keys, team, person, x, y, "_placed"], "left"
     )
-    return joined.select(*rows.columns, "pair_player_id", "pair_player_distance", "closest_opponent_distance")
+    return joined.select(
+        *rows.columns, "pair_player_id", "pair_player_distance", "closest_opponent_distance", "closest_opponent_id"
+    )
