@@ -247,3 +247,14 @@ def test_many_notices_take_time_in_proportion(piece):
     assert time.perf_counter() - start < 10
     if piece == "all rights reserved ":
         assert found[1:4] == (50_000, 0, 3 * 49_999)
+
+
+def test_crowded_buckets_equal_brute_force(spark, monkeypatch):
+    # No families, small blocks, and every bucket of three nodes compared by bitmaps.
+    for name, value in {"CROWDED": 2, "FAMILY": 9.0, "WIDE": 8}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    draw = random.Random(6)
+    base = [[f"v{draw.randrange(300)}" for _ in range(n)] for n in (9, 40, 120)]
+    rows = [(i, " ".join(w if draw.random() > 0.02 else f"u{draw.randrange(300)}" for w in base[i % 3]), "en", "s") for i in range(60)]
+    got = jaccard.grouped(corpus.frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert corpus.in_order(tuple(r) for r in got) == corpus.in_order(corpus.near_components(rows))
