@@ -1,11 +1,12 @@
 import random
 
-from football import frame
+from football import BRONZE_SCHEMA, frame
 from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions.numeric import clock
-from touchline.operators import quality, shape
+from touchline.operators import quality, runs, shape
+from touchline.operators.frames import fill_down
 from touchline.plans import gold, grouped
 
 SILVER = (
@@ -127,3 +128,21 @@ def test_grouped_and_gold_hash_rows_by_frame_once(spark, folder):
     held = grouped.possession_frames(grouped.grouped_positions(spark.read.parquet(folder + "/s")))
     plan = held._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def _scans(df):
+    """Scans of files in the plan, and exchanges."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan.count("Exchange hashpartitioning")
+
+
+def test_rows_are_read_once(spark, tmp_path):
+    rows = [row for n in range(6) for row in frame(n, number=10000 + n)]
+    spark.createDataFrame([tuple(r) for r in rows], BRONZE_SCHEMA).write.parquet(str(tmp_path / "rows"))
+    known = spark.read.parquet(str(tmp_path / "rows"))
+    assert _scans(fill_down(known)) == (1, 1)
+    # Rows filled down are dealt by frame: ranking and aggregating add no exchange.
+    assert _scans(gold.frame_summary(fill_down(known))) == (1, 1)
+    assert _scans(gold.gold_possessions(fill_down(known)))[0] == 1
+    assert _scans(shape.with_lags(known.withColumn("ball_distance", known.x)))[0] == 1
+    assert _scans(runs.running_totals(known, ["match_id"], "frame_id", {"total": known.speed}))[0] == 1
