@@ -5,9 +5,10 @@ import pytest
 from pyspark.errors import PySparkException
 from football import frame
 
+from touchline.operators import runs
 from touchline.plans import bronze, gold, raw, silver
 from touchline.sources import messages
-from touchline.streaming import levels, possessions
+from touchline.streaming import lags, levels, possessions
 
 HOLDERS = [1, 1, 2, 2, 2, 0, 1, 1, 1, 1, 2, 1]
 INFO = "match_id string, pitch_x double, pitch_y double, home_team_id string, guest_team_id string"
@@ -195,6 +196,24 @@ def test_a_batch_that_breaks_off_between_levels_is_made_up_for(spark, tmp_path):
     assert tables.read(spark, "silver").count() == 288 and tables.read(spark, "grouped").count() == 36
 
 
+def test_lags_across_batches_equal_the_batch(spark, tmp_path):
+    numbers = [1, 2, 3, 1003, 1004, 2005, 2006]
+    rows = [("M", n, p, float(n) if (n + len(p)) % 3 else None) for n in numbers for p in ("a", "bb")] + [("M", 5, None, 1.0), ("M", None, "a", 1.0)]
+    schema = "match_id string, frame_id bigint, person_id string, ball_distance double"
+    for low, high in ((0, 3), (3, 9), (9, 16)):
+        spark.createDataFrame(rows[low:high], schema).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        query = possessions.start(lags.lagged_stream(source), str(tmp_path / "out"), str(tmp_path / "cp"), "100 milliseconds", by=())
+        try:
+            possessions.await_silence(query, -1)
+        finally:
+            query.stop()
+    whole = spark.createDataFrame(rows[:14], schema)
+    want = runs.previous_values(whole, lags.PLAYER, "frame_id", {"prev_ball_distance": "ball_distance"}, 1000)
+    got = spark.read.parquet(str(tmp_path / "out")).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_event_mirror(spark, tmp_path):
     from touchline.streaming import mirror
 

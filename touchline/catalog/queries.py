@@ -195,13 +195,13 @@ def nearest_opponent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def nearest_opponent_crowded(spark: SparkSession, folder: str) -> DataFrame:
-    """The same over lines of orders as players in frames of some ten thousands, which take the cell search."""
+    """The same over lines of orders as players in frames of several thousands, which take the cell search."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").where("l_returnflag <> 'N'")
     hundredths = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     players = lines.select(
         F.lit("L").alias("match_id"), F.floor(F.col("l_orderkey") / 12_000).alias("frame_id"), F.col("l_returnflag").alias("team_id"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")).alias("person_id"),
-        (hundredths % 10_501).cast("double").alias("x"), (F.floor(hundredths / 7) % 6_801).cast("double").alias("y"),
+        (hundredths % 10_501 / F.lit(100.0)).alias("x"), (F.floor(hundredths / 7) % 6_801 / F.lit(100.0)).alias("y"),
     ).distinct()
     keys = ["match_id", "frame_id"]
     found = nearest.nearest_by_cells(players, keys, "team_id", "person_id", "x", "y")

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from touchline.catalog.tables import raw_table, work_folder
 from touchline.catalog.tracking_view import match_info
-from touchline.plans import raw
+from touchline.operators import frames
+from touchline.plans import bronze, raw, silver
 from touchline.sources import messages, sinks
-from touchline.streaming import levels, mirror, possessions
+from touchline.streaming import lags, levels, mirror, possessions
 
 TOPIC = "positions"
 
@@ -100,6 +101,27 @@ def unknown_match_modes(spark: SparkSession, folder: str) -> DataFrame:
     return listed.unionByName(bronze_rows).unionByName(strict)
 
 
+def stream_lagged_ball_distance(spark: SparkSession, folder: str, parts: int = 3) -> DataFrame:
+    """Ball distances as a stream of tables, taken up part by part, each with the player's value before it."""
+    work = work_folder(spark)
+    known = silver.identified(bronze.bronze_positions(raw_table(spark, folder), match_info(spark)))
+    columns = ["match_id", "game_section", "frame_id", "team_id", "person_id"]
+    rows = frames.ball_distance(known).select(*columns, F.round("ball_distance", 3).alias("ball_distance")).filter("person_id IS NOT NULL")
+    staged = f"{work}/staged"
+    cuts = rows.agg(F.percentile_approx("frame_id", [n / parts for n in range(1, parts)])).first()[0] or []
+    part = sum(((F.col("frame_id") > cut).cast("int") for cut in cuts), F.lit(0))
+    rows.withColumn("part", part).write.partitionBy("part").parquet(staged)
+    for step in range(parts):
+        spark.read.parquet(staged).filter(F.col("part") == step).drop("part").write.mode("append").parquet(f"{work}/inbox")
+        source = spark.readStream.schema(rows.schema).parquet(f"{work}/inbox")
+        query = possessions.start(lags.lagged_stream(source), f"{work}/out", f"{work}/checkpoint", "250 milliseconds", by=())
+        try:
+            possessions.await_silence(query, -1)
+        finally:
+            query.stop()
+    return spark.read.parquet(f"{work}/out")
+
+
 def arrival_order(spark: SparkSession, folder: str) -> DataFrame:
     """Messages that arrive in the order of a hash, some without a time: rows, and rows before which a later one stands in their partition."""
     rows = raw_table(spark, folder).select(F.when(F.col("frame_id") % 9 > 0, F.pmod(F.xxhash64("match_id", "frame_id", "team_id"), F.lit(10_000))).alias("_arrival_ms"))
@@ -148,5 +170,5 @@ def stream_possessions_stateful(spark: SparkSession, folder: str, parts: int = 3
 
 QUERIES = (
     stream_bronze_silver_gold, stream_possessions_stateful, level_counts, recovered_levels, unknown_match_modes, arrival_order,
-    mirrored_match_information,
+    mirrored_match_information, stream_lagged_ball_distance,
 )

@@ -230,10 +230,12 @@ def late_rows(emitted: DataFrame) -> DataFrame:
     return late.groupBy(*SECTION, F.col("run_start").alias("frame_id"), "team_id").agg(F.sum("num_frames").alias("late_rows"))
 
 
-def start(emitted: DataFrame, path: str, checkpoint: str, interval: str = constants.TRIGGER_INTERVAL) -> StreamingQuery:
-    """Writes the stream to a parquet folder by kind. Timers need batches, so the stream runs until it is stopped."""
+def start(
+    emitted: DataFrame, path: str, checkpoint: str, interval: str = constants.TRIGGER_INTERVAL, by: tuple[str, ...] = ("kind",)
+) -> StreamingQuery:
+    """Writes a stream of keyed state to a parquet folder. Timers need batches, so the stream runs until it is stopped."""
     emitted.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    writer = emitted.writeStream.format("parquet").partitionBy("kind").option("path", path).option("checkpointLocation", checkpoint)
+    writer = emitted.writeStream.format("parquet").partitionBy(*by).option("path", path).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=interval).start()
 
 
