@@ -258,3 +258,13 @@ def test_crowded_buckets_equal_brute_force(spark, monkeypatch):
     rows = [(i, " ".join(w if draw.random() > 0.02 else f"u{draw.randrange(300)}" for w in base[i % 3]), "en", "s") for i in range(60)]
     got = jaccard.grouped(corpus.frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
     assert corpus.in_order(tuple(r) for r in got) == corpus.in_order(corpus.near_components(rows))
+
+
+def test_responses_without_headers_date_or_payload(spark):
+    rows = [(1, "http://a/", None, None, "<p>x</p>", "clash"), (None, None, "2020-01-01T00:00:00Z", "HTTP/1.1 200 OK\r\nX: y\r\n", None, "clash")]
+    crawl = spark.createDataFrame(rows, "page_id long, target_uri string, date string, http_head string, payload string, record_type string")
+    found = warc.derivatives(crawl).collect()
+    heads = [dict(warc.parsed(bytes(r.record)).headers) for r in found]
+    assert [h["WARC-Date"] for h in heads] == [warc.DATE] * 2 + ["2020-01-01T00:00:00Z"] * 2
+    assert [r.page_id for r in found] == [1, 1, None, None] and found[2].content_length == 0
+    assert warc.derivatives(crawl.limit(0)).collect() == []

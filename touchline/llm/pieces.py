@@ -241,7 +241,10 @@ def decoded(tokens: DataFrame, path: str = MODEL, ids: str = "token_ids", target
 
 
 def round_trips(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """``doc_id, n_tokens, n_byte_tokens, ids_sha256, round_trip``: both ways in one task, the ids as a digest of little-endian 32-bit."""
+    """``doc_id, n_tokens, n_byte_tokens, ids_sha256, round_trip``: both ways in one task, the ids as a digest of little-endian 32-bit.
+
+    A null text counts as empty here.
+    """
     model = read_model(path)
     names = ["doc_id", "n_tokens", "n_byte_tokens", "ids_sha256", "round_trip"]
 

@@ -6,7 +6,8 @@ and repeat its target and date; the metadata block carries the source's HTTP hea
 outlinks and the id of its conversion. Record ids are UUIDs made from the content, so a rerun or a task that is tried
 again writes the same ids; repeated rows give repeated records. Digests are SHA-1 in base 32, as is usual in WARC files.
 
-A null or empty payload gives an empty conversion, a null URL an empty target, a null id column null. An empty table gives no record.
+A null or empty payload gives an empty conversion, a null URL an empty target, null headers none, a null date ``DATE``, a null id column null. An empty table
+gives no record; columns of other names are not looked at.
 """
 
 from __future__ import annotations
@@ -195,4 +196,6 @@ def derivatives(source: DataFrame) -> DataFrame:
         "page_id long, record_type string, record_id string, refers_to string, target_uri string, content_type string, "
         "content_length long, block_digest string, payload_digest string, record binary"
     )
-    return source.select("page_id", *columns).mapInArrow(task, schema)
+    # A crawl may bring rows without some of these.
+    known = [F.coalesce(F.col(c).cast("string"), F.lit(DATE if c == "date" else "")).alias(c) for c in columns]
+    return source.select("page_id", *known).mapInArrow(task, schema)
