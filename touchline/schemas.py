@@ -32,10 +32,6 @@ ENTITY_MESSAGE = _struct(
     ),
     T.StructField("FrameSet", FRAME_SET),
 )
-ENTITY_MESSAGE_NARROW = _struct(
-    T.StructField("Frame", _struct(*_strings("A", "D", "N", "S", "X", "Y", "BallPossession", "BallStatus"))),
-    T.StructField("FrameSet", FRAME_SET),
-)
 TIME_MAJOR_RECORD = _struct(T.StructField("n", T.LongType()), _array("frames", ENTITY_MESSAGE))
 
 # Field names of the match event feed.
