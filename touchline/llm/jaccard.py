@@ -55,7 +55,7 @@ LIKELY = 0.45
 #: Share of its signatures that a pair needs to be of one family.
 FAMILY = 0.1
 #: Nodes of a bucket from which on it is compared by bitmaps in blocks, so that its pairs are no rows.
-CROWDED = 128
+CROWDED = 32
 _SHORT = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
