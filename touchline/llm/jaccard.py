@@ -316,6 +316,8 @@ def inside(placed: DataFrame, bits: DataFrame) -> DataFrame:
     task, unless they hold a single component or no sizes that fit.
     """
     counted, _ = numbered(placed, [F.col(c) for c in ("family", "component", "size", "node")], "number")
+    # Stored, since both its starts and its blocks are read from it.
+    counted = checkpointed(counted)
     starts = counted.groupBy("family").agg(F.min("number").alias("start"))
     cut = counted.join(starts, "family").withColumn("block", F.floor((F.col("number") - F.col("start")) / WIDE))
     cut = checkpointed(cut.select("node", "family", "component", "block", "size"))
