@@ -1,6 +1,8 @@
 import json
 import time
+from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from football import frame
@@ -130,6 +132,99 @@ def test_late_rows_are_counted_apart(spark, tmp_path):
     assert {r.possession_id for r in possessions.sequences(inbox.emitted()).collect()} == {10000, 10002, 10004}
 
 
+class _Kept:
+    """A state variable in memory."""
+
+    def __init__(self):
+        self.held = None
+
+    def exists(self):
+        return bool(self.held)
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    put = update
+
+    def clear(self):
+        self.held = None
+
+    def updateValue(self, key, value):
+        self.held = {**(self.held or {}), key: value}
+
+    def iterator(self):
+        return iter(self.held.items())
+
+
+class _Clock:
+    """Handle and clock of one key: ``at`` is the time of the batch."""
+
+    def __init__(self):
+        self.timers, self.at = set(), 0
+
+    def getListState(self, *_):
+        return _Kept()
+
+    getMapState = getValueState = getListState
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def deleteTimer(self, timer):
+        self.timers.discard(timer)
+
+    def registerTimer(self, timer):
+        self.timers.add(timer)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.at
+
+    def expire(self, processor, at):
+        """Sequences of a batch at a time that brings the key nothing."""
+        self.at, due = at, {timer for timer in self.timers if timer <= at}
+        self.timers -= due
+        return [row for _ in due for part in processor.handleExpiredTimer(("M", "firstHalf"), self, None) for row in part["run_start"]]
+
+
+def _state_rows(frames):
+    names = {"ahead": 60.0, "back": 45.0, "speed": 1.0, "ball_status": 1.0, "speed_sum": 1000.0, "ahead_sum": 6000.0, "back_sum": 4500.0}
+    rows = [{"frame_id": n, "team_id": team, "person_id": "p", "known": True, "ball_possession": "H", "x": 1.0, **names} for n in frames for team in ("H", "BALL")]
+    return pd.DataFrame(rows)[[*possessions.ROW]]
+
+
+def test_a_slow_batch_is_no_silence():
+    clock, processor = _Clock(), possessions.Sequences(lateness=1, idle=1_000, keep=1, k=0)
+    processor.init(clock)
+    assert not [*processor.handleInputRows(("M", "firstHalf"), iter([_state_rows((1, 2))]), clock)]
+    # The batch took five seconds, so the next one begins long after ``idle``: only now is there silence to count.
+    assert clock.expire(processor, 5_000) == [] and clock.expire(processor, 5_999) == []
+    clock.at = 5_999
+    assert not [*processor.handleInputRows(("M", "firstHalf"), iter([_state_rows((3, 4))]), clock)]
+    assert clock.expire(processor, 9_000) == [] and clock.expire(processor, 9_999) == []
+    assert clock.expire(processor, 10_000) == [1] and not clock.timers
+
+
+def test_silence_is_awaited_to_its_end():
+    start = datetime(2024, 1, 1)
+
+    def batch(begun, rows, took=100):
+        return {"timestamp": (start + timedelta(milliseconds=begun)).isoformat(), "numInputRows": rows, "durationMs": {"triggerExecution": took}}
+
+    class Query:
+        isActive, recentProgress = True, [batch(0, 5, 3_000), batch(3_000, 0), batch(3_200, 0)]
+
+        def exception(self):
+            return None
+
+    with pytest.raises(TimeoutError):
+        possessions.await_silence(Query(), 1_000, timeout=0.3)
+    Query.recentProgress = [*Query.recentProgress, batch(4_101, 0)]
+    possessions.await_silence(Query(), 1_000, timeout=0.3)
+
+
 def test_state_stays_flat(spark, tmp_path):
     inbox = _Inbox(spark, tmp_path, lateness=3, idle=60_000)
     entity = _entities()

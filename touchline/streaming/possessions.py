@@ -5,7 +5,7 @@ frame and the sequence that may still go on. A frame is finished once a frame ``
 half's own event time, so a delayed match does not hold others back, nor is it cut off by them. Rows of finished frames are counted as late.
 
 A half of which nothing has come for ``idle`` closes by a processing-time timer: its last frames are finished and its last sequence is emitted, also when
-no later half ever starts. What is then left of it, directions and last frame, Spark evicts after ``keep``. So state grows with the halves that are being
+no later half ever starts. Silence begins with the first batch that brings the half nothing, so the time that the batch before it took is none. What is then left of it, directions and last frame, Spark evicts after ``keep``. So state grows with the halves that are being
 played, not with their frames.
 
 Reading messages, match metadata, coordinates for both directions and rounding are DataFrame expressions before the state, the contract's columns
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -144,6 +144,7 @@ class Sequences(StatefulProcessor):
         self.directions = handle.getMapState("directions", "team_id string", "direction int", self.keep)
         self.going_on = handle.getValueState("open", _ddl(RUN))
         self.last = handle.getValueState("last", "frame_id long", self.keep)
+        self.silent = handle.getValueState("silent", "since long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows), ignore_index=True)[[*ROW]]
@@ -164,9 +165,17 @@ class Sequences(StatefulProcessor):
             self.pending.put([tuple(row) for row in rest.where(rest.notna(), None).itertuples(index=False)])
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
+        # The next batch sees whether the half is silent; this one may take longer than ``idle``.
+        self.silent.clear()
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.silent.exists():
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.silent.update((now,))
+            self.handle.registerTimer(now + self.idle)
+            return
+        self.silent.clear()
         held = pd.DataFrame([tuple(row) for row in self.pending.get()] if self.pending.exists() else [], columns=[*ROW])
         yield from self._advance(key, held, finish=True)
         self.pending.clear()
@@ -240,12 +249,23 @@ def start(
 
 
 def await_silence(query: StreamingQuery, idle: int = IDLE, timeout: float = 600.0) -> None:
-    """Waits until rows have come and a batch has begun more than ``idle`` milliseconds after the last of them: then all their halves have closed."""
-    until, fed = time.monotonic() + timeout, None
+    """Waits until rows have come and, unless ``idle`` is negative, until all their halves have closed.
+
+    They close in a batch that begins ``idle`` milliseconds after the first batch without rows; that one's timers count from some time before its end.
+    """
+    until, fed, silent = time.monotonic() + timeout, None, None
     while time.monotonic() < until and query.isActive:
-        batches = [(datetime.fromisoformat(p["timestamp"]), p["numInputRows"]) for p in query.recentProgress]
-        fed = max([at for at, rows in batches if rows], default=fed)
-        if fed is not None and (batches[-1][0] - fed).total_seconds() * 1000 > idle:
+        for progress in query.recentProgress:
+            begun = datetime.fromisoformat(progress["timestamp"])
+            if progress["numInputRows"]:
+                if fed is None or begun > fed:
+                    fed, silent = begun, None
+            elif fed is not None and begun > fed:
+                if silent is None:
+                    silent = begun + timedelta(milliseconds=progress["durationMs"].get("triggerExecution", 0))
+                elif idle >= 0 and begun > silent + timedelta(milliseconds=idle):
+                    return
+        if fed is not None and idle < 0:
             return
         time.sleep(0.1)
     if query.exception() is not None:
