@@ -6,7 +6,8 @@ from football import BRONZE_SCHEMA, degenerate, enrich, frame
 from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.plans import silver
+from touchline.operators import frames, shape
+from touchline.plans import gold, grouped, silver
 
 
 def _cases():
@@ -168,3 +169,34 @@ def test_rows_are_shuffled_once(spark, folder):
     result = silver.silver_positions(spark.read.parquet(folder + "/b"))
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("limit", [512, 3])
+def test_halves_that_share_frame_numbers_are_enriched_apart(spark, limit):
+    halves = [[r for n in range(3) for r in frame(seed + n, section=section, number=100000 + n)] for seed, section in ((1, "firstHalf"), (11, "secondHalf"), (21, None))]
+
+    def enriched(rows, flavour):
+        found = silver.silver_positions(spark.createDataFrame(rows, BRONZE_SCHEMA), flavour, max_frame_rows=limit)
+        return sorted(map(str, found.collect()))
+
+    for flavour in (silver.BATCH, silver.STREAM):
+        assert enriched([r for half in halves for r in half], flavour) == sorted(line for half in halves for line in enriched(half, flavour))
+
+
+def test_frame_operators_keep_halves_apart(spark):
+    halves = [
+        [r for n in range(3) for r in frame(seed + n, section=section, number=100000 + n, holder=holder)]
+        for seed, section, holder in ((1, "firstHalf", "H"), (11, "secondHalf", "G"), (21, None, "H"))
+    ]
+
+    def lagged(rows):
+        return shape.with_lags(frames.ball_distance(rows))
+
+    def held(rows):
+        return grouped.possession_frames(grouped.grouped_positions(silver.silver_positions(rows, silver.STREAM)))
+
+    for step in (frames.fill_down, frames.ball_carriers, lagged, gold.frame_summary, held):
+        whole, *parts = (
+            sorted(map(str, step(spark.createDataFrame(rows, BRONZE_SCHEMA)).collect())) for rows in ([r for half in halves for r in half], *halves)
+        )
+        assert whole == sorted(line for part in parts for line in part), step

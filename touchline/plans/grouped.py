@@ -12,7 +12,7 @@ from touchline.operators.runs import BLOCK, running_totals, value_runs
 from touchline.sources.constants import FRAMES_PER_SECOND, OFFSIDE_LINE_INDEX
 
 TEAM_FRAME = ["match_id", "team_id", "frame_id", "game_section"]
-FRAME = ["match_id", "frame_id"]
+FRAME = list(schemas.FRAME_KEYS)
 SECTION = ["match_id", "game_section"]
 
 

@@ -1,6 +1,6 @@
 """Previous values per player across micro-batches, in keyed state.
 
-Each player of a match keeps its newest frame and the values in it; a row takes those of the frame before it, whichever batch that came in. Beyond a
+Each player of a half keeps its newest frame and the values in it; a row takes those of the frame before it, whichever batch that came in. Beyond a
 jump of more than ``max_gap`` frames there is no previous value, as in the batch (``operators.shape.with_lags``). Rows that are not later than the
 newest frame of an earlier batch get none either and change nothing. A player of whom nothing has come for ``keep`` is evicted by Spark.
 """
@@ -18,6 +18,7 @@ from touchline.sources import constants
 from touchline.streaming.possessions import KEEP
 
 PLAYER = ["match_id", "person_id"]
+SECTION = "game_section"
 
 
 class LastValue(StatefulProcessor):
@@ -53,6 +54,8 @@ def lagged_stream(rows: DataFrame, value: str = "ball_distance", max_gap: int =
     """The rows with ``prev_<value>``; rows without a person have no history and are left out. Needs Spark's RocksDB state provider."""
     known = rows.filter("match_id IS NOT NULL AND person_id IS NOT NULL AND frame_id IS NOT NULL")
     fields = ", ".join(f"{name} {kind}" for name, kind in known.dtypes) + f", prev_{value} double"
-    return known.groupBy(*PLAYER).transformWithStateInPandas(
+    # Halves may share frame numbers.
+    half = [SECTION] if SECTION in known.columns else []
+    return known.groupBy(*PLAYER, *half).transformWithStateInPandas(
         LastValue(value, known.columns, max_gap, keep), fields, "Append", "ProcessingTime"
     )
