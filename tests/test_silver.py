@@ -120,6 +120,30 @@ def test_cell_search_equals_brute_force(spark):
         assert got[who] == (other, gap)
 
 
+def test_tiles_decide_nearly_all_of_a_crowded_frame(spark):
+    from touchline.operators.nearest import _in_tiles, nearest_by_cells
+
+    rng = random.Random(12)
+    # Evenly spread on a pitch, on a grid of centimetres with ties, all at one point, and in two far clusters.
+    spread = {
+        "even": [(rng.uniform(0, 105), rng.uniform(0, 68)) for _ in range(1200)],
+        "grid": [(rng.randrange(30) / 100, rng.randrange(30) / 100) for _ in range(600)],
+        "point": [(3.0, 4.0)] * 4,
+        "far": [(rng.gauss(n % 2 * 1e6, 1e-3), 0.0) for n in range(200)],
+    }
+    people = [(g, "AB"[i // 2 % 2], f"p{i:04d}", x, y) for g, places in spread.items() for i, (x, y) in enumerate(places)]
+    df = spark.createDataFrame(people, "grp string, team string, who string, x double, y double")
+    got = {(r.grp, r.who): (r.opponent, r.distance) for r in nearest_by_cells(df, ["grp"], "team", "who", "x", "y").collect()}
+    assert len(got) == len(people)
+    for group in spread:
+        members = [p for p in people if p[0] == group]
+        for _, team, who, x, y in members:
+            gap, other = min((math.sqrt((x - q[3]) * (x - q[3]) + (y - q[4]) * (y - q[4])), q[2]) for q in members if q[1] != team)
+            assert got[group, who] == (other, gap)
+    sites = df.filter("grp = 'even'").selectExpr("grp", "cast(team = 'B' as int) AS side", "x", "y", "who AS person")
+    assert _in_tiles(sites, ["grp"]).count() > 0.95 * 1200
+
+
 def test_no_ball_no_distance_but_pairs(spark):
     rows = [r for r in frame(3) if r[3] != "BALL"]
     for r in rows:
