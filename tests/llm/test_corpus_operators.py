@@ -392,3 +392,18 @@ def test_bitmaps_allow_every_link():
     part = pd.DataFrame({"family": [7], "block": [0], "i": [0], "j": [0], "nodes": [nodes]})
     pairs = {tuple(p[:2]) for p in jaccard._allowed(part).to_numpy().tolist()}
     assert pairs == {(i, j) for i in range(40) for j in range(i + 1, 40) if fits[i, j] and i // 2 != j // 2}
+
+
+def test_crowded_buckets_are_chosen_without_dealing_their_rows_again(spark):
+    # Two buckets of the same nodes, one of others, and one that is not crowded.
+    buckets = {2: range(40), 4: range(40), 6: range(20, 60), 8: range(3)}
+    rows = [(signature, node, node % 2, 9, len(nodes)) for signature, nodes in buckets.items() for node in nodes]
+    split = spark.createDataFrame(rows, "signature long, node long, family long, size int, members long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard._crowded(split)
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.family, r.node, r.component) for r in found.collect()) == [(s, n, n % 2) for s in (2, 6) for n in buckets[s]]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -364,7 +364,8 @@ def links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = buckets.join(small_or_whole(checkpointed(named_by)), "node")
     spread = {"low": F.min("family").over(bucket), "high": F.max("family").over(bucket), "members": F.count("*").over(bucket)}
     split = stored(placed.withColumns(spread).where("low < high").drop("low", "high"))
-    near = near.unionByName(inside(_crowded(split), bits))
+    # Stored, since numbering reads it several times.
+    near = near.unionByName(inside(checkpointed(_crowded(split)), bits))
     split = split.where(F.col("members") <= CROWDED)
     left, right = (split.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "family", "size")]) for side in "ab")
     fit = (F.col("a_family") < F.col("b_family")) & (5 * F.least("a_size", "b_size") >= 4 * F.greatest("a_size", "b_size"))
@@ -389,7 +390,7 @@ def _crowded(split: DataFrame) -> DataFrame:
     prints = hot.groupBy("signature").agg(F.count("*").alias("nodes"), *same)
     chosen = prints.groupBy("nodes", "print1", "print2").agg(F.min("signature").alias("signature")).select("signature")
     # A bucket's nodes differ in their families only.
-    return hot.join(chosen, "signature").select("node", F.col("signature").alias("bucket"), "family", "size").withColumnsRenamed(
+    return hot.join(small_or_whole(checkpointed(chosen)), "signature").select("node", F.col("signature").alias("bucket"), "family", "size").withColumnsRenamed(
         {"family": "component", "bucket": "family"}
     )
 
