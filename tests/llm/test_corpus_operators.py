@@ -100,6 +100,30 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("per_task", [components.PER_TASK, 30])
+def test_components_of_any_graph(spark, monkeypatch, per_task):
+    monkeypatch.setattr(components, "PER_TASK", per_task)
+    draw = random.Random(per_task)
+    edges = [(draw.randrange(400) - 200, draw.randrange(400) - 200) for _ in range(170)] + [(n, 1000) for n in range(900, 1000)]
+    lowest = {node: node for edge in edges for node in edge if edge[0] != edge[1]}
+    for _ in lowest:
+        for a, b in edges:
+            if a != b:
+                lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    found = components.components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
+    assert len(found) == len(lowest) and dict(found) == lowest
+
+
+def test_small_graphs_take_few_jobs(spark):
+    """The driver holds the plans and tasks of all jobs: rounds of joins over a chain of 40 took dozens."""
+    spark.sparkContext.setJobGroup("small graph", "components")
+    try:
+        components.components(spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long"))
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("small graph")) <= 10
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_representatives_keep_one_of_each_group(docs):
     kept = jaccard.representatives(docs)
     assert kept.columns == docs.columns
