@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
 import check  # noqa: E402
-from touchline.catalog import feeds, oracles  # noqa: E402
+from touchline.catalog import feeds, oracles, tables  # noqa: E402
 from touchline.catalog import queries as catalog  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -36,3 +36,13 @@ def test_documents_are_files_of_one_folder_written_by_all_tasks(spark, tmp_path)
     files = spark.read.text(path, wholetext=True).selectExpr("value", "_metadata.file_name AS file").collect()
     assert sorted(r.value.strip() for r in files) == sorted(f"line 1\n{n}" for n in range(50))
     assert len({r.file for r in files}) == 50 and len({r.file[:10] for r in files}) > 1
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
+@pytest.mark.parametrize("name", ["attack_direction", "raw_from_json", "raw_explode_project", "unknown_match_modes"])
+def test_rows_read_once_are_not_stored(spark, monkeypatch, name):
+    monkeypatch.setattr(tables, "_STORED", {})
+    direct = sorted(map(repr, catalog.all_queries()[name](spark, SMALL).collect()))
+    assert tables._STORED == {}
+    tables.raw_table(spark, SMALL)
+    assert sorted(map(repr, catalog.all_queries()[name](spark, SMALL).collect())) == direct

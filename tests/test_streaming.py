@@ -257,6 +257,17 @@ def test_levels_switches_and_counts(spark, tmp_path):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
+def test_bronze_alone_builds_no_silver(spark, monkeypatch):
+    """Silver counts the rows of all frames before it is built."""
+    built = []
+    monkeypatch.setattr(silver, "silver_positions", lambda *a, **b: built.append(a))
+    rows = [json.dumps(e) for frames in _entities() for e in frames]
+    topic = spark.createDataFrame([(r, datetime(2023, 1, 1), "t") for r in rows], "value string, timestamp timestamp, topic string")
+    pipeline = levels.LevelPipeline(_info(spark), topic="t", build=("bronze",))
+    pipeline.process(topic, 0)
+    assert pipeline.counts == {"bronze": len(rows)} and not built
+
+
 def test_unknown_matches_in_strict_mode(spark):
     lines = [(json.dumps(e),) for e in _entities()[0]]
     topic = spark.createDataFrame(lines, "value string").selectExpr(

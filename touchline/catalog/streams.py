@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.catalog.tables import raw_table, work_folder
+from touchline.catalog.tables import raw_rows, raw_table, work_folder
 from touchline.catalog.tracking_view import match_info
 from touchline.operators import frames
 from touchline.plans import bronze, raw, silver
@@ -37,7 +37,7 @@ def stream_bronze_silver_gold(spark: SparkSession, folder: str) -> DataFrame:
     """Each half of the matches is one micro-batch of the stateless stream."""
     work = work_folder(spark)
     part = F.when(F.col("game_section") == "firstHalf", 0).otherwise(1)
-    staged = _staged(raw_table(spark, folder).withColumn("part", part), work)
+    staged = _staged(raw_rows(spark, folder).withColumn("part", part), work)
     pipeline = levels.LevelPipeline(
         match_info(spark), levels.to_tables(f"{work}/out"), topic=TOPIC, emit=("silver", "gold"), audit=True
     )
@@ -61,14 +61,14 @@ def _topic(spark: SparkSession, rows: DataFrame) -> DataFrame:
 def level_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The ledger of a batch of which one level is published and all are built and counted."""
     pipeline = levels.LevelPipeline(match_info(spark), levels.to_tables(f"{work_folder(spark)}/out"), topic=TOPIC, emit=("grouped",))
-    pipeline.process(_topic(spark, raw_table(spark, folder)), 0)
+    pipeline.process(_topic(spark, raw_rows(spark, folder)), 0)
     return pipeline.publish.ledger(spark).select("level", "rows", F.col("level").isin(*pipeline.emit).alias("published"))
 
 
 def recovered_levels(spark: SparkSession, folder: str) -> DataFrame:
     """Grouped rows of a batch that broke off after its first levels and was repeated."""
     work = work_folder(spark)
-    topic = _topic(spark, raw_table(spark, folder))
+    topic = _topic(spark, raw_rows(spark, folder))
     tables = levels.to_tables(f"{work}/out")
 
     def breaks(level: str, rows: DataFrame, batch_id: int) -> None:
@@ -87,7 +87,7 @@ def recovered_levels(spark: SparkSession, folder: str) -> DataFrame:
 def unknown_match_modes(spark: SparkSession, folder: str) -> DataFrame:
     """A feed with a match of which nothing is known: listed by the audit, and fatal in strict mode."""
     work = work_folder(spark)
-    topic, info = _topic(spark, raw_table(spark, folder)), match_info(spark, matches=2)
+    topic, info = _topic(spark, raw_rows(spark, folder)), match_info(spark, matches=2)
     warned = levels.to_tables(f"{work}/warn")
     levels.LevelPipeline(info, warned, topic=TOPIC, build=("bronze",), audit=True).process(topic, 0)
     try:
@@ -124,7 +124,7 @@ def stream_lagged_ball_distance(spark: SparkSession, folder: str, parts: int = 3
 
 def arrival_order(spark: SparkSession, folder: str) -> DataFrame:
     """Messages that arrive in the order of a hash, some without a time: rows, and rows before which a later one stands in their partition."""
-    rows = raw_table(spark, folder).select(F.when(F.col("frame_id") % 9 > 0, F.pmod(F.xxhash64("match_id", "frame_id", "team_id"), F.lit(10_000))).alias("_arrival_ms"))
+    rows = raw_rows(spark, folder).select(F.when(F.col("frame_id") % 9 > 0, F.pmod(F.xxhash64("match_id", "frame_id", "team_id"), F.lit(10_000))).alias("_arrival_ms"))
     placed = sinks.arrival_order(rows).select("_arrival_ms", F.monotonically_increasing_id().alias("place"), F.spark_partition_id().alias("part"))
     before = F.lag(F.coalesce("_arrival_ms", F.lit(1 << 40))).over(Window.partitionBy("part").orderBy("place"))
     return placed.withColumn("_before", before).agg(

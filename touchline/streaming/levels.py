@@ -103,13 +103,17 @@ class LevelPipeline:
 
     def _process(self, messages: DataFrame, batch_id: int) -> None:
         self.counts = {}
-        rows = keep(raw.message_positions(messages, self.topic))
-        known = quality.checked_matches(rows, self.info) if self.strict else rows
-        bronze_rows = keep(bronze.bronze_stream_positions(known, self.info))
+        rows = raw.message_positions(messages, self.topic)
+        # Checked before they are kept: else a task reads all its rows before it fails at the first.
+        rows = keep(quality.checked_matches(rows, self.info) if self.strict else rows)
+        bronze_rows = keep(bronze.bronze_stream_positions(rows, self.info))
         if self.audit:
             self.publish("audit", quality.unresolved_directions(bronze_rows), batch_id)
             self.publish("unknown_matches", quality.unknown_matches(rows, self.info), batch_id)
         self._emit("bronze", bronze_rows.drop("_arrival_ms"), batch_id)
+        if not {"silver", "grouped", "gold"} & set(self.build):
+            # Silver counts the rows of all frames before it is built.
+            return
         # Silver feeds up to three outputs; it is computed once.
         silver_rows = keep(silver.silver_positions(bronze_rows, silver.STREAM, batch_id=batch_id))
         self._emit("silver", silver_rows, batch_id)
