@@ -4,6 +4,9 @@ All rows of a half meet under its key. Its state holds the rows of frames that m
 frame and the sequence that may still go on. A frame is finished once a frame ``lateness`` numbers later has come: frame numbers are the
 half's own event time, so a delayed match does not hold others back, nor is it cut off by them. Rows of finished frames are counted as late.
 
+The rows of a batch may be many for one half. Its worker takes them up piece by piece, sorts them by frame with files of its own (``sorted_rows``) and takes
+the finished frames into the sequences slice by slice, so its memory grows with neither the rows of a batch nor the length of a half.
+
 A half of which nothing has come for ``idle`` closes by a processing-time timer: its last frames are finished and its last sequence is emitted, also when
 no later half ever starts. Silence begins with the first batch that brings the half nothing, so the time that the batch before it took is none. What is then left of it, directions and last frame, Spark evicts after ``keep``. So state grows with the halves that are being
 played, not with their frames.
@@ -29,6 +32,7 @@ from touchline import schemas
 from touchline.functions.geometry import normalise_x
 from touchline.plans import bronze, gold, raw
 from touchline.sources import constants
+from touchline.streaming.sorted_rows import SortedRows
 
 SECTION = bronze.SECTION
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,6 +44,7 @@ ROW = {
     # Whole numbers that may be missing are doubles in pandas, and so they are here.
     **dict.fromkeys(("x", "ahead", "back", "speed", "ball_status", "speed_sum", "ahead_sum", "back_sum"), "double"),
 }
+LATE_ROW = {name: ROW[name] for name in ("frame_id", "team_id")}
 _SUMS = [f"{name}_{part}" for name in gold.AVERAGED for part in ("sum", "n")]
 RUN = {"team_id": "string", "run_start": "long", "run_end": "long", "opponent_id": "string", "num_frames": "long", **dict.fromkeys(_SUMS, "long")}
 SEQUENCE, LATE = "sequence", "late"
@@ -104,22 +109,25 @@ def frame_facts(rows: pd.DataFrame, directions: dict[str, int], k: int) -> pd.Da
 
 def runs_of(facts: pd.DataFrame) -> list[dict]:
     """Runs of consecutive frames with one possessing team, in order."""
-    frame, team = facts.index.to_numpy(), facts["team_id"].where(facts["team_id"].notna(), None).to_numpy(dtype=object)
+    frame, team = facts.index.to_numpy(), facts["team_id"].astype(object).where(facts["team_id"].notna(), None).to_numpy()
     opens = np.ones(len(frame), dtype=bool)
     opens[1:] = (np.diff(frame) != 1) | (team[1:] != team[:-1])
-    runs = []
-    for _, part in facts.groupby(np.cumsum(opens)):
-        opponents = part["opponent_id"].dropna()
-        run = {
-            "team_id": part["team_id"].iloc[0] if pd.notna(part["team_id"].iloc[0]) else None,
-            "run_start": int(part.index[0]), "run_end": int(part.index[-1]), "opponent_id": opponents.max() if len(opponents) else None,
-            "num_frames": len(part),
-        }
-        for name in gold.AVERAGED:
-            count = int(part[name].notna().sum())
-            run |= {f"{name}_sum": int(part[name].sum()) if count else None, f"{name}_n": count}
-        runs.append(run)
-    return runs
+    starts = np.flatnonzero(opens)
+    if not len(starts):
+        return []
+    ends = np.append(starts[1:], len(frame))
+    codes, names = pd.factorize(facts["opponent_id"], sort=True)
+    most = np.maximum.reduceat(codes, starts).tolist()
+    columns = {
+        "team_id": team[starts].tolist(), "run_start": frame[starts].tolist(), "run_end": frame[ends - 1].tolist(),
+        "opponent_id": [names[code] if code >= 0 else None for code in most], "num_frames": (ends - starts).tolist(),
+    }
+    for name in gold.AVERAGED:
+        value = facts[name].to_numpy(dtype=np.float64)
+        counts = np.add.reduceat((~np.isnan(value)).astype(np.int64), starts).tolist()
+        sums = np.add.reduceat(np.nan_to_num(value), starts).tolist()
+        columns |= {f"{name}_sum": [int(total) if count else None for total, count in zip(sums, counts)], f"{name}_n": counts}
+    return [dict(zip(columns, values)) for values in zip(*columns.values())]
 
 
 def joined_runs(one: dict, other: dict) -> dict:
@@ -147,22 +155,28 @@ class Sequences(StatefulProcessor):
         self.silent = handle.getValueState("silent", "since long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True)[[*ROW]]
         last = self.last.get()[0] if self.last.exists() else None
-        if last is not None:
-            late = arrived["frame_id"] <= last
-            if late.any():
-                counted = arrived[late].groupby(["frame_id", "team_id"], dropna=False).size().reset_index(name="num_frames")
+        with SortedRows(ROW) as held, SortedRows(LATE_ROW) as late:
+            for arrived in rows:
+                if last is not None:
+                    finished = arrived["frame_id"] <= last
+                    late.add(arrived.loc[finished, [*LATE_ROW]])
+                    arrived = arrived[~finished]
+                held.add(arrived[[*ROW]])
+            for part in late.slices():
+                counted = part.groupby(["frame_id", "team_id"], dropna=False).size().reset_index(name="num_frames")
                 yield self._output(key, LATE, counted.rename(columns={"frame_id": "run_start"}))
-            arrived = arrived[~late]
-        held = pd.DataFrame([tuple(row) for row in self.pending.get()], columns=[*ROW]) if self.pending.exists() else arrived.iloc[:0]
-        some = [part for part in (held, arrived) if len(part)]
-        together = pd.concat(some, ignore_index=True) if some else arrived
-        if len(together):
-            done = together["frame_id"] <= together["frame_id"].max() - self.lateness
-            yield from self._advance(key, together[done], finish=False)
-            rest = together[~done].astype(object)
-            self.pending.put([tuple(row) for row in rest.where(rest.notna(), None).itertuples(index=False)])
+            if self.pending.exists():
+                held.add(pd.DataFrame([tuple(row) for row in self.pending.get()], columns=[*ROW]))
+            rest = []
+            for part in held.slices():
+                done = part["frame_id"] <= held.newest - self.lateness
+                if done.any():
+                    yield from self._advance(key, part[done], finish=False)
+                if not done.all():
+                    rest.append(part[~done].astype(object))
+            if held.newest is not None:
+                self.pending.put([row for part in rest for row in part.where(part.notna(), None).itertuples(index=False, name=None)])
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         # The next batch sees whether the half is silent; this one may take longer than ``idle``.
@@ -252,14 +266,17 @@ def await_silence(query: StreamingQuery, idle: int = IDLE, timeout: float = 600.
     """Waits until rows have come and, unless ``idle`` is negative, until all their halves have closed.
 
     They close in a batch that begins ``idle`` milliseconds after the first batch without rows; that one's timers count from some time before its end.
+    A batch that takes up rows may take longer than ``timeout``, which counts again from its end.
     """
     until, fed, silent = time.monotonic() + timeout, None, None
-    while time.monotonic() < until and query.isActive:
+    while query.isActive:
+        # The status is read first: once it says that a batch is over, its progress is there.
+        over = time.monotonic() >= until and not (silent is None and query.status["isDataAvailable"])
         for progress in query.recentProgress:
             begun = datetime.fromisoformat(progress["timestamp"])
             if progress["numInputRows"]:
                 if fed is None or begun > fed:
-                    fed, silent = begun, None
+                    fed, silent, until = begun, None, time.monotonic() + timeout
             elif fed is not None and begun > fed:
                 if silent is None:
                     silent = begun + timedelta(milliseconds=progress["durationMs"].get("triggerExecution", 0))
@@ -267,6 +284,8 @@ def await_silence(query: StreamingQuery, idle: int = IDLE, timeout: float = 600.
                     return
         if fed is not None and idle < 0:
             return
+        if over and time.monotonic() >= until:
+            break
         time.sleep(0.1)
     if query.exception() is not None:
         raise query.exception()
